@@ -81,16 +81,18 @@ class _Unpacked:
             self.pending = b""
             return True
         while self.member is not None:
-            if not self._feed():
-                raise ArchiveError("gzip member is cut off")
-            before = len(self.pending)
+            fed, before = self._feed(), len(self.pending)
             try:
-                self.buffer += self.member.decompress(self.pending)
+                unpacked = self.member.decompress(self.pending, 4 * BLOCK)
             except zlib.error as problem:
                 raise ArchiveError(f"bad gzip data: {problem}") from None
-            self.pending = self.member.unused_data
+            ended = self.member.eof
+            if not (fed or unpacked or ended):
+                raise ArchiveError("gzip member is cut off")
+            self.buffer += unpacked
+            self.pending = self.member.unused_data if ended else self.member.unconsumed_tail
             self.position += before - len(self.pending)
-            if self.member.eof:
+            if ended:
                 self.member, self.members_done = None, self.members_done + 1
                 return bool(self.buffer)
             if self.buffer:
