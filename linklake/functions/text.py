@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The code points a Python ``str`` treats as white space.
 WHITESPACE = (
@@ -41,7 +42,7 @@ def decode_utf8(payload: Column) -> Column:
     return F.make_valid_utf8(payload.cast("string"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decode_declared(payload: pd.Series, charset: pd.Series) -> pd.Series:
     import codecs
 

@@ -44,10 +44,18 @@ def add_registered_domain(hosts: DataFrame, suffix_rules: DataFrame) -> DataFram
         return F.array_join(part, ".")
 
     count = F.size("_labels") - F.col("_from") + 1
+    def key(rule, suffix, exception: int, size):
+        return F.struct(
+            rule.alias("rule"),
+            suffix.alias("suffix"),
+            F.lit(exception).alias("exception"),
+            size.alias("labels"),
+        )
+
     kinds = F.array(
-        F.struct(tail(0).alias("rule"), tail(0).alias("suffix"), F.lit(0).alias("exception"), count.alias("labels")),
-        F.struct(F.concat(F.lit("*."), tail(1)), tail(0), F.lit(0), count),
-        F.struct(F.concat(F.lit("!"), tail(0)), tail(1), F.lit(1), count - 1),
+        key(tail(0), tail(0), 0, count),
+        key(F.concat(F.lit("*."), tail(1)), tail(0), 0, count),
+        key(F.concat(F.lit("!"), tail(0)), tail(1), 1, count - 1),
     )
     keys = offered.select("host", F.inline(kinds))
     matched = keys.join(suffix_rules.select("rule").distinct(), "rule")

@@ -118,7 +118,7 @@ def read_records(
     named = paths.select("warc_file")
     if partitions:
         named = named.repartition(partitions)
-    schema = StructType.fromDDL("warc_file string")
+    schema = schemas.columns("warc_file string")
     return named.mapInArrow(split, StructType(schema.fields + schemas.RECORD.fields))
 
 
@@ -185,9 +185,9 @@ def fetch_records(
 
         yield from _packed(carried, rows())
 
-    types = {"warc_record_offset": "bigint", "warc_record_length": "bigint"}
-    carried_ddl = ", ".join(f"{name} {types.get(name, 'string')}" for name, _ in carried)
-    schema = StructType(StructType.fromDDL(carried_ddl).fields + schemas.RECORD.fields)
+    kinds = {"warc_record_offset": "long", "warc_record_length": "long"}
+    kept = schemas.columns(", ".join(f"{name} {kinds.get(name, 'string')}" for name, _ in carried))
+    schema = StructType(kept.fields + schemas.RECORD.fields)
     return spread.sortWithinPartitions(*keys).mapInArrow(fetch, schema)
 
 

@@ -90,7 +90,7 @@ def read_ad_hosts(spark: SparkSession, path: str) -> DataFrame:
 def parse_category_reply(reply: Column) -> Column:
     """Category entries of a JSON reply; an empty array where it has none."""
     entries = F.from_json(reply, schemas.CATEGORY_REPLY).getField("categories")
-    empty = F.array().cast(schemas.CATEGORY_REPLY["categories"].dataType)
+    empty = F.array().cast(schemas.CATEGORIES)
     return F.coalesce(entries, empty)
 
 

@@ -46,5 +46,5 @@ def lines_with_prefix(lines: DataFrame, picks: DataFrame, count: int = 3) -> Dat
     test is a plain filter on the scan of the lines: no join.
     """
     prefixes = picks.select("path").limit(count).agg(F.collect_list("path")).scalar()
-    hit = F.exists(prefixes, lambda prefix: F.startswith(F.col("value"), prefix))
-    return lines.where(hit)
+    hit = F.exists("_prefixes", lambda prefix: F.startswith(F.col("value"), prefix))
+    return lines.withColumn("_prefixes", prefixes).where(hit).drop("_prefixes")
