@@ -3,19 +3,19 @@
 Everything here is a native column expression, so it stays inside whole-stage
 code generation. ``parse_url`` is not used: under ANSI it raises on links that
 hold blanks or bars, and it keeps path parameters.
+
+A link is cut up once, by one pattern, into site and path (``split_link``); the
+rest are cheap string functions over that. Jobs that need both keep the cut text
+in a column of its own, as ``operators.sites`` does: Spark then cuts once a row.
 """
 
 from __future__ import annotations
 
+from string import ascii_letters, digits
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLIT = (
-    r"(?s)\A(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
-    r"(?:\?([^#]*))?(?:#(.*))?"
-)
-_SCHEME, _NETLOC, _PATH, _QUERY, _FRAGMENT = 1, 2, 3, 4, 5
-
 # Schemes whose last path segment may carry ``;params``.
 PARAM_SCHEMES = [
     "", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
@@ -40,6 +40,18 @@ US_SUFFIXES = ["com", "org", "net"]
 _DOTS = "\u3002\uff0e\uff61"
 
 
+_SCHEME = r"(?:([A-Za-z][A-Za-z0-9+.\-]*):)?+"
+_AUTHORITY_AND_PATH = r"(?://([^/?#]*+))?+([^?#]*+)"
+_SITE_AND_PATH = rf"(?s)\A{_SCHEME}{_AUTHORITY_AND_PATH}.*+\z"
+_FIVE_PARTS = rf"(?s)\A{_SCHEME}{_AUTHORITY_AND_PATH}(?:\?([^#]*+))?+(?:#(.*+))?+\z"
+# A link with nothing to strip and an authority with nothing to check. Letters are
+# spelled out because Java tests such a class with one table look-up.
+_PLAIN = (
+    rf"\Ahttps?://[{ascii_letters}{digits}.:_\-]++(?:[/?#][^\t\r\n]*+)?\z"
+)
+_LEADING = "".join(map(chr, range(0x21)))
+
+
 def _ipv6_pattern() -> str:
     """The RFC 3986 IPv6address rule, with an optional zone."""
     h16 = "[0-9A-Fa-f]{1,4}"
@@ -51,68 +63,91 @@ def _ipv6_pattern() -> str:
         groups = 5 - before
         tail = f"(?:{h16}:){{{groups}}}{ls32}" if groups >= 0 else (h16 if groups == -1 else "")
         forms.append(f"{head}::{tail}")
-    return rf"\A(?:{'|'.join(forms)})(?:%[^%]+)?\z"
-
-
-_BRACKET_HOST = rf"{_ipv6_pattern()}|\Av[a-fA-F0-9]+\..+\z"
+    return rf"(?:{'|'.join(forms)})(?:%[^%\]/?#]+)?"
+
+
+def _valid_pattern() -> str:
+    """No authority, one without brackets, or one whose first bracket opens an IP
+    literal. The last form has its closing bracket before the opening one."""
+    inside = rf"(?:{_ipv6_pattern()}|v[a-fA-F0-9]+\.[^\]/?#]+)"
+    end = r"(?=[/?#]|\z)"
+    odd = NFKC_RESERVED
+    authority = "|".join(
+        [
+            rf"[^/?#\[\]{odd}]*+{end}",
+            rf"[^/?#\[{odd}]*+\[{inside}\][^/?#{odd}]*+{end}",
+            rf"(?=[^/?#\[]*\])[^/?#\[{odd}]*+\[{inside}{end}",
+        ]
+    )
+    return rf"\A{_SCHEME}(?:(?!//)|//(?:{authority}))"
 
 
 def _prepared(link: Column) -> Column:
-    return F.regexp_replace(link, r"\A[\x00-\x20]+|[\t\r\n]+", "")
+    return F.regexp_replace(F.ltrim(link, F.lit(_LEADING)), r"[\t\r\n]+", "")
+
 
+def split_link(link: Column) -> Column:
+    """A link as ``scheme://netloc`` and path, one a line.
 
-def _part(link: Column, group: int) -> Column:
-    return F.regexp_extract(_prepared(link), _SPLIT, group)
+    Line breaks cannot be part of either: they are dropped from the link. Scheme
+    or authority are empty where the link has none.
+    """
+    return F.regexp_replace(_prepared(link), _SITE_AND_PATH, "$1://$2\n$3")
 
 
-def url_scheme(link: Column) -> Column:
-    return F.lower(_part(link, _SCHEME))
+def site_of(parts: Column) -> Column:
+    """``scheme://netloc``: scheme in lower case, authority as written."""
+    site = F.substring_index(parts, "\n", 1)
+    scheme = F.substring_index(site, "://", 1)
+    lowered = F.concat(F.lower(scheme), F.substring(site, F.length(scheme) + 1, F.length(site)))
+    usual = F.startswith(site, F.lit("http://")) | F.startswith(site, F.lit("https://"))
+    return F.when(usual, site).otherwise(lowered)
 
 
-def url_netloc(link: Column) -> Column:
-    return _part(link, _NETLOC)
+def path_of(parts: Column) -> Column:
+    """Path without the ``;params`` of its last segment."""
+    path = F.substring_index(parts, "\n", -1)
+    scheme = F.lower(F.substring_index(parts, "://", 1))
+    return F.when(
+        F.contains(path, F.lit(";")) & scheme.isin(PARAM_SCHEMES),
+        F.regexp_replace(path, r";[^/]*+\z", ""),
+    ).otherwise(path)
 
 
-def _path_and_params(link: Column) -> Column:
-    return _part(link, _PATH)
+def is_root(path: Column) -> Column:
+    return path.isin("", "/")
 
 
 def url_path(link: Column) -> Column:
     """Path without query, fragment and the ``;params`` of its last segment."""
-    path = _path_and_params(link)
-    bare = F.regexp_replace(path, r";[^/]*\z", "")
-    return F.when(
-        F.contains(path, F.lit(";")) & url_scheme(link).isin(PARAM_SCHEMES), bare
-    ).otherwise(path)
+    return path_of(split_link(link))
+
+
+def is_plain_url(link: Column) -> Column:
+    """True for the common kind of link that needs no further check."""
+    return link.rlike(_PLAIN)
 
 
 def is_valid_url(link: Column) -> Column:
-    """False for unbalanced or non-IPv6 brackets and for authorities that NFKC
+    """False for unbalanced or non-IP brackets and for authorities that NFKC
     would turn into something with a reserved character."""
-    netloc = url_netloc(link)
-    opened, closed = F.contains(netloc, F.lit("[")), F.contains(netloc, F.lit("]"))
-    inner = F.regexp_extract(netloc, r"\[([^\]]*)", 1)
-    brackets_ok = (opened == closed) & (~opened | inner.rlike(_BRACKET_HOST))
-    odd = netloc.rlike(rf"[\[\]{NFKC_RESERVED}]")
-    return ~odd | (brackets_ok & ~netloc.rlike(f"[{NFKC_RESERVED}]"))
+    return is_plain_url(link) | _prepared(link).rlike(_valid_pattern())
 
 
 def primary_link(link: Column) -> Column:
     """``scheme://netloc`` of a link; null for an invalid URL."""
-    return F.when(
-        is_valid_url(link), F.concat(url_scheme(link), F.lit("://"), url_netloc(link))
-    )
+    return F.when(is_valid_url(link), site_of(split_link(link)))
 
 
 def is_homepage(link: Column) -> Column:
     """True when the path is empty or ``/``; false for an invalid URL."""
-    return is_valid_url(link) & url_path(link).isin("", "/")
+    return is_valid_url(link) & is_root(url_path(link))
 
 
 def subsection(link: Column) -> Column:
     """Path of a link that is not a home page; null otherwise."""
     path = url_path(link)
-    return F.when(is_valid_url(link) & ~path.isin("", "/"), path)
+    return F.when(is_valid_url(link) & ~is_root(path), path)
 
 
 def quote_path(path: Column) -> Column:
@@ -128,17 +163,19 @@ def encode_url_path(link: Column) -> Column:
 
     Empty query, fragment and parameter marks are dropped by the rebuild.
     """
-    scheme, netloc = url_scheme(link), url_netloc(link)
-    params = F.when(
-        scheme.isin(PARAM_SCHEMES),
-        F.regexp_extract(_path_and_params(link), r"(?s);([^/]*)\z", 1),
-    ).otherwise(F.lit(""))
-    query, fragment = _part(link, _QUERY), _part(link, _FRAGMENT)
+    parts = F.split(
+        F.regexp_replace(_prepared(link), _FIVE_PARTS, "$1\n$2\n$3\n$4\n$5"), "\n", -1
+    )
+    scheme, netloc, whole_path, query, fragment = (F.get(parts, i) for i in range(5))
+    scheme = F.lower(scheme)
+    has_params = scheme.isin(PARAM_SCHEMES) & F.contains(whole_path, F.lit(";"))
+    bare_path = F.when(has_params, F.regexp_replace(whole_path, r";[^/]*+\z", "")).otherwise(whole_path)
+    params = F.when(has_params, F.regexp_extract(whole_path, r";([^/]*+)\z", 1)).otherwise(F.lit(""))
 
     def marked(mark: str, text: Column) -> Column:
         return F.when(text == "", F.lit("")).otherwise(F.concat(F.lit(mark), text))
 
-    path = F.concat(quote_path(url_path(link)), marked(";", params))
+    path = F.concat(quote_path(bare_path), marked(";", params))
     rooted = F.when((path == "") | path.startswith("/"), path).otherwise(
         F.concat(F.lit("/"), path)
     )
@@ -160,14 +197,19 @@ def encode_url_path(link: Column) -> Column:
     )
 
 
+def site_host(site: Column) -> Column:
+    """Lower-case host of a ``scheme://netloc``: user, port and trailing dots
+    dropped; ``''`` if there is none. IP literals keep their brackets."""
+    located = F.substring_index(F.substring_index(site, "/", -1), "@", -1)
+    bare = F.when(
+        F.startswith(located, F.lit("[")), F.concat(F.substring_index(located, "]", 1), F.lit("]"))
+    ).otherwise(F.substring_index(located, ":", 1))
+    return F.lower(F.rtrim(F.trim(F.translate(bare, _DOTS, "...")), F.lit(".")))
+
+
 def host(link: Column) -> Column:
-    """Lower-case host: user, port and trailing dots dropped; ``''`` if none."""
-    located = F.regexp_extract(
-        F.translate(url_netloc(link), _DOTS, "..."),
-        r"\A(?:.*@)?(\[[^\]]*\]|[^:]*)",
-        1,
-    )
-    return F.lower(F.rtrim(F.trim(located), F.lit(".")))
+    """Lower-case host of a link; null for an invalid URL."""
+    return site_host(primary_link(link))
 
 
 def is_ip_host(host_name: Column) -> Column:
@@ -180,7 +222,7 @@ def fqdn(host_name: Column) -> Column:
 
 
 def last_label(host_name: Column) -> Column:
-    return F.regexp_extract(F.lower(host_name), r"([^.]+)\z", 1)
+    return F.substring_index(F.lower(host_name), ".", -1)
 
 
 def dotted(label: Column) -> Column:

@@ -14,14 +14,31 @@ from pyspark.sql import functions as F
 from linklake.functions import urls
 
 
+def with_host(sites: DataFrame) -> DataFrame:
+    """Sites with their host in a column of its own, worked out once a site.
+
+    It is never null, so joins by host add no null test. Spark would push such a
+    test below the grouping of the links and work the host out for every link.
+    """
+    if "_host" in sites.columns:
+        return sites
+    host = F.coalesce(urls.site_host(F.col("primary_link")), F.lit(""))
+    return sites.withColumn("_host", host)
+
+
 def add_country(sites: DataFrame, tlds: DataFrame) -> DataFrame:
     """``country_code`` from the last label of the host; null if unknown."""
-    label = urls.last_label(urls.host(F.col("primary_link")))
     lookup = tlds.select(F.col("tld").alias("_tld"), F.col("country_code").alias("_code"))
-    keyed = sites.withColumn("_label", label).withColumn("_tld", urls.dotted(F.col("_label")))
+    keyed = with_host(sites).withColumn("_label", urls.last_label(F.col("_host")))
+    keyed = keyed.withColumn("_tld", urls.dotted(F.col("_label")))
     code = F.when(F.col("_label").isin(urls.US_SUFFIXES), F.lit("US")).otherwise(F.col("_code"))
-    joined = keyed.join(lookup, "_tld", "left")
-    return joined.withColumn("country_code", code).drop("_tld", "_label", "_code")
+    joined = keyed.join(lookup, "_tld", "left").withColumn("country_code", code)
+    return joined.drop("_tld", "_label", "_code", *_added(sites))
+
+
+def _added(sites: DataFrame) -> list[str]:
+    """The working column to drop again, unless the caller brought it."""
+    return [] if "_host" in sites.columns else ["_host"]
 
 
 def add_registered_domain(hosts: DataFrame, suffix_rules: DataFrame) -> DataFrame:
@@ -32,9 +49,10 @@ def add_registered_domain(hosts: DataFrame, suffix_rules: DataFrame) -> DataFram
     suffixes as keys of one equi-join.
     """
     labels = F.split("host", r"\.")
-    start = F.explode(F.sequence(F.lit(1), F.size("_labels")))
+    # The outer form: the plain one adds a size test that is pushed below distinct.
+    start = F.explode_outer(F.sequence(F.lit(1), F.size("_labels")))
     offered = (
-        hosts.select("host").where(F.length("host") > 0).distinct()
+        hosts.select("host").distinct()
         .withColumn("_labels", labels)
         .select("host", "_labels", start.alias("_from"))
     )
@@ -64,9 +82,14 @@ def add_registered_domain(hosts: DataFrame, suffix_rules: DataFrame) -> DataFram
 
 
 def site_domains(sites: DataFrame) -> DataFrame:
-    """Distinct full domain names of the sites, as ``domain``."""
-    domain = urls.fqdn(urls.host(F.col("primary_link")))
-    return sites.select(domain.alias("domain")).where(F.col("domain").isNotNull()).distinct()
+    """Distinct full domain names of the sites, as ``domain``.
+
+    Sites without one fall into the null group, which is told by its count: a
+    null test would be pushed below the grouping of the links.
+    """
+    domain = urls.fqdn(F.col("_host")).alias("domain")
+    grouped = with_host(sites).select(domain).groupBy("domain").agg(F.count("domain").alias("named"))
+    return grouped.where(F.col("named") > 0).select("domain")
 
 
 def unknown_domains(domains: DataFrame, known: DataFrame) -> DataFrame:
@@ -78,25 +101,29 @@ def unknown_domains(domains: DataFrame, known: DataFrame) -> DataFrame:
 def add_category(sites: DataFrame, categories: DataFrame) -> DataFrame:
     """``category`` by full domain name, from ``domain, category`` (unique)."""
     lookup = categories.select(F.col("domain").alias("_domain"), "category")
-    keyed = sites.withColumn("_domain", urls.fqdn(urls.host(F.col("primary_link"))))
-    return keyed.join(lookup, "_domain", "left").drop("_domain")
+    keyed = with_host(sites).withColumn("_domain", urls.fqdn(F.col("_host")))
+    return keyed.join(lookup, "_domain", "left").drop("_domain", *_added(sites))
 
 
 def add_ad_flag(sites: DataFrame, ad_hosts: DataFrame) -> DataFrame:
     """``is_ad_domain`` of sites without a category; null for the others."""
     lookup = ad_hosts.select(F.lower("host").alias("_host")).distinct().withColumn("_hit", F.lit(True))
-    keyed = sites.withColumn("_host", urls.host(F.col("primary_link")))
     flag = F.when(F.col("category").isNull(), F.coalesce("_hit", F.lit(False)))
-    joined = keyed.join(lookup, "_host", "left")
-    return joined.withColumn("is_ad_domain", flag).drop("_host", "_hit")
+    joined = with_host(sites).join(lookup, "_host", "left").withColumn("is_ad_domain", flag)
+    return joined.drop("_hit", *_added(sites))
 
 
 def only_ad_sites(sites: DataFrame, ad_hosts: DataFrame) -> DataFrame:
-    """Sites whose host is an ad host."""
-    lookup = ad_hosts.select(F.lower("host").alias("_host"))
-    keyed = sites.withColumn("_host", urls.host(F.col("primary_link")))
-    return keyed.join(lookup, "_host", "left_semi").drop("_host")
+    """Sites whose host is an ad host.
+
+    An inner join with distinct hosts: a semi join would be pushed below the
+    grouping of the links and look every link up.
+    """
+    lookup = ad_hosts.select(F.lower("host").alias("_host")).distinct()
+    return with_host(sites).join(lookup, "_host").drop(*_added(sites))
 
 
 def enrich(sites: DataFrame, tlds: DataFrame, categories: DataFrame, ad_hosts: DataFrame) -> DataFrame:
-    return add_ad_flag(add_category(add_country(sites, tlds), categories), ad_hosts)
+    """All three, with the host worked out once."""
+    hosted = add_country(with_host(sites), tlds)
+    return add_ad_flag(add_category(hosted, categories), ad_hosts).drop("_host")

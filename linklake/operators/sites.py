@@ -13,22 +13,41 @@ from linklake.functions.text import is_nonempty
 SUBSECTIONS_PER_ROW = 100_000
 
 
+def _cut(links: DataFrame) -> DataFrame:
+    """Site and path of each link, which is cut up once into a column of its own."""
+    parts = F.col("_parts")
+    return links.select("link", urls.split_link(F.col("link")).alias("_parts")).select(
+        "link", urls.site_of(parts).alias("primary_link"), urls.path_of(parts).alias("_path")
+    )
+
+
 def link_parts(links: DataFrame) -> DataFrame:
-    """Home page flag and subsection of each link."""
-    return links.select(
+    """Site, home page flag and subsection of each link; an invalid URL has no
+    site and no subsection and is no home page."""
+    valid = urls.is_valid_url(F.col("link"))
+    flagged = _cut(links).select("*", valid.alias("_valid"), urls.is_root(F.col("_path")).alias("_root"))
+    return flagged.select(
         "link",
-        urls.is_homepage(F.col("link")).alias("is_homepage"),
-        urls.subsection(F.col("link")).alias("subsection"),
+        F.when(F.col("_valid"), F.col("primary_link")).alias("primary_link"),
+        (F.col("_valid") & F.col("_root")).alias("is_homepage"),
+        F.when(F.col("_valid") & ~F.col("_root"), F.col("_path")).alias("subsection"),
     )
 
 
 def site_links(links: DataFrame) -> DataFrame:
-    """Site and subsection of each non-empty link with a valid URL."""
+    """Site and subsection of each non-empty link with a valid URL.
+
+    Validity is tested on the link itself, ahead of the cutting: a filter on the
+    finished site would be pushed below and drag all of the cutting along. Most
+    links pass by the first pattern.
+    """
     link = F.col("link")
-    named = links.where(is_nonempty(link)).select(
-        urls.primary_link(link).alias("primary_link"), urls.subsection(link).alias("subsection")
-    )
-    return named.where(F.col("primary_link").isNotNull())
+    kept = links.where(urls.is_plain_url(link) | (is_nonempty(link) & urls.is_valid_url(link)))
+    section = F.when(~urls.is_root(F.col("_path")), F.col("_path"))
+    # Never null from here on, and declared so: joins by site then add no null test,
+    # which would split plans that should share one shuffle.
+    site = F.coalesce("primary_link", F.lit(""))
+    return _cut(kept).select(site.alias("primary_link"), section.alias("subsection"))
 
 
 def site_counts(links: DataFrame) -> DataFrame:

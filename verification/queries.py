@@ -45,8 +45,7 @@ def primary_link_projection(spark, sf_dir):
     links = inputs.links(spark, sf_dir).unionAll(
         spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("link"))
     )
-    parts = sites.link_parts(links)
-    return parts.select(urls.primary_link(F.col("link")).alias("primary_link"), "is_homepage", "subsection")
+    return sites.link_parts(links).drop("link")
 
 
 def homepage_split(spark, sf_dir):
@@ -72,9 +71,8 @@ def url_hosts(spark, sf_dir):
 
 
 def registered_suffix(spark, sf_dir):
-    hosts = sites.site_counts(inputs.links(spark, sf_dir)).select(
-        urls.host(F.col("primary_link")).alias("host")
-    )
+    counts = sites.site_counts(inputs.links(spark, sf_dir))
+    hosts = enrich.with_host(counts).select(F.col("_host").alias("host"))
     rules = spark.sql(f"select * from values {inputs.SUFFIX_RULES} as r(rule)")
     return enrich.add_registered_domain(hosts, rules)
 
