@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# Ship this module's Arrow function with the job, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The code points a Python ``str`` treats as white space.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"

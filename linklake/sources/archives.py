@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linklake import schemas
-from linklake.sources import archive_bytes
+from linklake.sources.archive_bytes import failure, open_at, split_records
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -25,6 +25,7 @@ ARCHIVE_GLOB = "*.warc.gz"
 # Fixed value: what makes a path absolute.
 DATA_URL = r"^(s3|https?|file|hdfs):(?://([^/]*))?/(.*)"
 BATCH_BYTES = 16 << 20
+STRETCH_BYTES = 64 << 20
 BATCH_ROWS = 2000
 
 _HEADER_MAP = pa.map_(pa.string(), pa.string())
@@ -105,13 +106,13 @@ def read_records(
             for batch in batches:
                 for path in batch.column("warc_file").to_pylist():
                     try:
-                        with archive_bytes.open_at(path) as stream:
-                            for record in archive_bytes.split_records(stream, parse_http, kinds):
+                        with open_at(path) as stream:
+                            for record in split_records(stream, parse_http, kinds):
                                 if not with_payload:
                                     record = (*record[:-2], None, record[-1])
                                 yield (path, *record)
                     except OSError as problem:
-                        yield (path, *archive_bytes.failure(problem))
+                        yield (path, *failure(problem))
 
         yield from _packed([("warc_file", pa.string())], rows())
 
@@ -137,26 +138,30 @@ def fetch_records(
 ) -> DataFrame:
     """Records found by file name, offset and length.
 
-    Rows are spread by ranges of (file, offset): reads inside a task run forward
-    through few files, and a file that holds much of the rows is cut by offset.
-    A declared charset travels as a column and in the record's headers.
+    Rows are spread by stretches of a file and sorted inside a task: reads run
+    forward, and a file that holds much of the rows is shared out by its stretches.
+    The partition count is set, as the rows are tiny next to the work they stand
+    for and would else be merged into few tasks. A declared charset travels as a
+    column and in the record's headers.
     """
     columns = coordinate_columns(coordinates)
-    has_charset = schemas.CHARSET_COLUMN in columns
+    charset_column = schemas.CHARSET_COLUMN
+    has_charset = charset_column in columns
     wanted = coordinates.select(
         F.col("url"),
         F.col("warc_filename"),
         F.col("warc_record_offset").cast("bigint").alias("warc_record_offset"),
         F.col("warc_record_length").cast("bigint").alias("warc_record_length"),
-        *([schemas.CHARSET_COLUMN] if has_charset else []),
+        *([charset_column] if has_charset else []),
         resolve_path(F.col("warc_filename"), base_uri, local_base).alias("warc_file"),
     )
-    keys = ["warc_file", "warc_record_offset"]
-    spread = wanted.repartitionByRange(partitions, *keys) if partitions else wanted.repartitionByRange(*keys)
+    tasks = partitions or int(coordinates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretch = F.floor(F.col("warc_record_offset") / STRETCH_BYTES)
+    spread = wanted.repartition(tasks, "warc_file", stretch)
     carried = [
         ("url", pa.string()), ("warc_filename", pa.string()),
         ("warc_record_offset", pa.int64()), ("warc_record_length", pa.int64()),
-        *([(schemas.CHARSET_COLUMN, pa.string())] if has_charset else []),
+        *([(charset_column, pa.string())] if has_charset else []),
         ("warc_file", pa.string()),
     ]
 
@@ -169,26 +174,26 @@ def fetch_records(
                     offset = -1 if offset is None else offset
                     length = -1 if length is None else length
                     try:
-                        with archive_bytes.open_at(row["warc_file"], offset, length) as stream:
-                            for record in archive_bytes.split_records(stream, parse_http):
+                        with open_at(row["warc_file"], offset, length) as stream:
+                            for record in split_records(stream, parse_http):
                                 record = list(record)
                                 if record[-1] is None:
                                     record[1:3] = [offset, length] if length > 0 else record[1:3]
-                                    if has_charset and row[schemas.CHARSET_COLUMN]:
+                                    if has_charset and row[charset_column]:
                                         record[6] = {
                                             **record[6],
-                                            "warc-identified-content-charset": row[schemas.CHARSET_COLUMN],
+                                            "warc-identified-content-charset": row[charset_column],
                                         }
                                 yield (*kept, *record)
                     except OSError as problem:
-                        yield (*kept, *archive_bytes.failure(problem))
+                        yield (*kept, *failure(problem))
 
         yield from _packed(carried, rows())
 
     kinds = {"warc_record_offset": "long", "warc_record_length": "long"}
     kept = schemas.columns(", ".join(f"{name} {kinds.get(name, 'string')}" for name, _ in carried))
     schema = StructType(kept.fields + schemas.RECORD.fields)
-    return spread.sortWithinPartitions(*keys).mapInArrow(fetch, schema)
+    return spread.sortWithinPartitions("warc_file", "warc_record_offset").mapInArrow(fetch, schema)
 
 
 def count_inputs(paths: DataFrame, counter: Observation) -> DataFrame:

@@ -37,11 +37,12 @@ def read_links_jdbc(spark: SparkSession, url: str, table: str = LINK_TABLE, **op
 def read_link_files(spark: SparkSession, path: str) -> DataFrame:
     """Links of link files: one column, comma-separated, doubled quotes.
 
-    Blank lines are dropped. A line with a second column stops the read rather
-    than being cut.
+    Blank lines are dropped, a quoted empty text is kept. A line with a second
+    column stops the read rather than being cut.
     """
+    # NUL stands for null: no link holds one, while an empty text is a value here.
     reader = spark.read.schema(schemas.LINK).options(
-        sep=",", quote='"', escape='"', mode="FAILFAST", encoding="UTF-8"
+        sep=",", quote='"', escape='"', mode="FAILFAST", encoding="UTF-8", nullValue="\x00", emptyValue=""
     )
     links = reader.csv(path)
     return links.where(links.link.isNotNull())

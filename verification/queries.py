@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from linklake.streaming import links as streams
 from verification import inputs
 from verification.archive_files import write_archives
 
+# The record hook below travels with the job, wherever the driver was started.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PARTITION = "2025-13"
 
 
