@@ -84,6 +84,7 @@ def run(
     ad_hosts_file: str | None = None,
     limit_per_archive: int | None = None,
     archive_list: Sequence[str] | None = None,
+    stretch_bytes: int = archives.STRETCH_BYTES,
     mode: str = "errorifexists",
 ) -> dict[str, DataFrame]:
     """All of it: a folder (or list) of archives to the written outputs.
@@ -92,7 +93,7 @@ def run(
     executor then costs a column scan and not a second parse of the archives.
     """
     if archive_list is None:
-        paths = archives.list_archives(spark, archive_folder)
+        paths = archives.cut_archives(archives.list_archives(spark, archive_folder), stretch_bytes)
     else:
         paths = spark.createDataFrame([(p,) for p in archive_list], "warc_file string")
     link_store = f"{output_folder}/links"

@@ -18,6 +18,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 20
+MEMBER_MAGIC = b"\x1f\x8b\x08"
+# The most bytes deflate can store as they are in one piece.
+STORED_LIMIT = 65_535
 WITH_HTTP_BLOCK = ("response", "request", "revisit")
 
 
@@ -57,8 +60,8 @@ def open_at(uri: str, offset: int = -1, length: int = -1):
 class _Unpacked:
     """Unpacked bytes of a stream of gzip members (or of a plain stream)."""
 
-    def __init__(self, raw):
-        self.raw, self.pending, self.position = raw, b"", 0
+    def __init__(self, raw, position: int = 0):
+        self.raw, self.pending, self.position = raw, b"", position
         self.buffer, self.member, self.member_start = bytearray(), None, 0
         self.gzipped, self.members_done = None, 0
 
@@ -247,12 +250,89 @@ def _warc_record(source: _Unpacked):
     return headers, source.exactly(int(fields[-1]))
 
 
-def split_records(stream, parse_http: bool = True, rec_types=None) -> Iterator[tuple]:
+def is_chain_start(stream, at: int) -> bool:
+    """Whole record members follow one another from ``at`` on, for longer than
+    deflate can store bytes unchanged or to the end of the file.
+
+    Members of an archive that is itself the content of a record can look the
+    same, but only inside one stored piece, so they never pass.
+    """
+    stream.seek(at)
+    position, block = at, b""
+    while True:
+        inflater, head = zlib.decompressobj(31), b""
+        while not inflater.eof:
+            block = block or stream.read(BLOCK)
+            if not block:
+                return False
+            before = len(block)
+            try:
+                out = inflater.decompress(block, BLOCK)
+            except zlib.error:
+                return False
+            block = inflater.unused_data if inflater.eof else inflater.unconsumed_tail
+            position += before - len(block)
+            head = (head + out[:5])[:5]
+            if not b"WARC/".startswith(head):
+                return False
+        if head != b"WARC/":
+            return False
+        block = block or stream.read(BLOCK)
+        if not block or position - at > STORED_LIMIT:
+            return True
+
+
+def find_chain_start(stream, start: int, end: int) -> int | None:
+    """First offset in the range where a chain of record members starts."""
+    if start == 0:
+        return 0
+    at, kept = start, b""
+    while at < end:
+        stream.seek(at + len(kept))
+        fresh = stream.read(BLOCK)
+        block = kept + fresh
+        found = block.find(MEMBER_MAGIC)
+        while found >= 0 and at + found < end:
+            if is_chain_start(stream, at + found):
+                return at + found
+            found = block.find(MEMBER_MAGIC, found + 1)
+        if not fresh:
+            return None
+        kept = block[-2:]
+        at += len(block) - len(kept)
+    return None
+
+
+def split_stretch(uri: str, number: int, start: int, end: int, parse_http: bool = True, rec_types=None):
+    """Records of one byte stretch of an archive.
+
+    A stretch owns the members from its first chain start up to the first chain
+    start past its end, so every record belongs to exactly one stretch. An archive
+    that is not made of record members is left whole to stretch 0. Positions rise
+    in file order but are not dense.
+    """
+    with open_at(uri) as stream, open_at(uri) as probe:
+        first = find_chain_start(probe, start, end)
+        if first is None:
+            return
+        stream.seek(first)
+
+        def is_next(offset: int) -> bool:
+            return offset >= end and is_chain_start(probe, offset)
+
+        yield from split_records(stream, parse_http, rec_types, first, number << 32, is_next)
+
+
+def split_records(
+    stream, parse_http: bool = True, rec_types=None, start: int = 0, position: int = 0, stop_at=None
+) -> Iterator[tuple]:
     """Tuples in ``schemas.RECORD`` order; a last one with an error if the
     archive cannot be read to its end."""
-    source, position = _Unpacked(stream), 0
+    source = _Unpacked(stream, start)
     try:
         while (offset := source.start_record()) is not None:
+            if stop_at is not None and stop_at(offset):
+                return
             headers, content = _warc_record(source)
             length = source.end_record(offset)
             kind = headers.get("warc-type")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linklake import schemas
-from linklake.sources.archive_bytes import failure, open_at, split_records
+from linklake.sources.archive_bytes import failure, open_at, split_records, split_stretch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -25,7 +25,7 @@ ARCHIVE_GLOB = "*.warc.gz"
 # Fixed value: what makes a path absolute.
 DATA_URL = r"^(s3|https?|file|hdfs):(?://([^/]*))?/(.*)"
 BATCH_BYTES = 16 << 20
-STRETCH_BYTES = 64 << 20
+STRETCH_BYTES = 256 << 20
 BATCH_ROWS = 2000
 
 _HEADER_MAP = pa.map_(pa.string(), pa.string())
@@ -49,10 +49,27 @@ def resolve_path(path: Column, base_uri: str | None = None, local_base: str | No
 
 
 def list_archives(spark: SparkSession, folder: str, glob: str = ARCHIVE_GLOB) -> DataFrame:
-    """Paths under a folder. Content is pruned from the scan, and Spark packs
-    files into tasks by size, so a big archive has a task of its own."""
+    """Paths and sizes under a folder; no content is read. Spark packs files into
+    tasks by size, so a big archive has a task of its own."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return listing.select(F.col("path").alias("warc_file"))
+    return listing.select(F.col("path").alias("warc_file"), F.col("length").alias("file_bytes"))
+
+
+def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: int | None = None) -> DataFrame:
+    """Listed archives cut into byte stretches and spread over tasks.
+
+    For archives too big for one task: however much of the data one file holds,
+    a task reads one stretch of it.
+    """
+    number = F.explode(F.sequence(F.lit(0), F.floor((F.col("file_bytes") - 1) / stretch_bytes).cast("int")))
+    cut = paths.where(F.col("file_bytes") > 0).select("warc_file", number.alias("stretch")).select(
+        "warc_file",
+        "stretch",
+        (F.col("stretch").cast("bigint") * stretch_bytes).alias("start"),
+        ((F.col("stretch").cast("bigint") + 1) * stretch_bytes).alias("end"),
+    )
+    count = tasks or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(count, "warc_file", "stretch")
 
 
 def archive_paths(
@@ -97,26 +114,36 @@ def read_records(
 
     Record types are an argument because a filter above a Python stage cannot
     be pushed into it. An archive that cannot be opened or read on gives one row
-    with ``error`` set; records before the damage are kept.
+    with ``error`` set; records before the damage are kept. Paths from
+    ``cut_archives`` are read a stretch at a time.
     """
     kinds = None if rec_types is None else tuple(rec_types)
+    is_cut = "stretch" in paths.columns
+
+    def records_of(place: dict) -> Iterator[tuple]:
+        if is_cut:
+            path, number, start, end = (place[k] for k in ("warc_file", "stretch", "start", "end"))
+            yield from split_stretch(path, number, start, end, parse_http, kinds)
+        else:
+            with open_at(place["warc_file"]) as stream:
+                yield from split_records(stream, parse_http, kinds)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for path in batch.column("warc_file").to_pylist():
+                for place in batch.to_pylist():
+                    path = place["warc_file"]
                     try:
-                        with open_at(path) as stream:
-                            for record in split_records(stream, parse_http, kinds):
-                                if not with_payload:
-                                    record = (*record[:-2], None, record[-1])
-                                yield (path, *record)
+                        for record in records_of(place):
+                            if not with_payload:
+                                record = (*record[:-2], None, record[-1])
+                            yield (path, *record)
                     except OSError as problem:
                         yield (path, *failure(problem))
 
         yield from _packed([("warc_file", pa.string())], rows())
 
-    named = paths.select("warc_file")
+    named = paths.select("warc_file", *(["stretch", "start", "end"] if is_cut else []))
     if partitions:
         named = named.repartition(partitions)
     schema = schemas.columns("warc_file string")

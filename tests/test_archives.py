@@ -83,7 +83,7 @@ def test_damage_gives_an_error_row(spark, tmp_path):
     (tmp_path / "other.txt").write_text("x")
     paths = archives.list_archives(spark, str(tmp_path))
     missing = spark.createDataFrame([(str(tmp_path / "missing.warc.gz"),)], "warc_file string")
-    records = archives.read_records(paths.unionAll(missing), partitions=3)
+    records = archives.read_records(paths.select("warc_file").unionAll(missing), partitions=3)
     name = F.regexp_extract("warc_file", r"([a-z]+)\.warc", 1)
     got = records.groupBy(name.alias("n")).agg(
         F.count_if(F.col("error").isNull()).alias("ok"), F.count_if(F.col("error").isNotNull()).alias("bad")
@@ -160,3 +160,57 @@ def test_links_of_records(spark, tmp_path):
         (3, 0, "http://n.com/"),
     ]
     assert Path(tmp_path / "a.warc.gz").exists()
+
+
+def by_stretches(path, size):
+    total = Path(path).stat().st_size
+    found = []
+    for number in range((total + size - 1) // size):
+        found += archive_bytes.split_stretch(str(path), number, number * size, (number + 1) * size)
+    return found
+
+
+def noise(size, seed):
+    import random
+
+    return random.Random(seed).randbytes(size)
+
+
+def test_stretches_cover_an_archive_once(tmp_path):
+    """Also with records that hold archives themselves, stored unchanged."""
+    members = [gzip.compress(record("response", f"http://inner{i}.com/", page(noise(3000, i)))) for i in range(30)]
+    inner = b"".join(members)
+    data = b""
+    for i in range(60):
+        body = inner if i % 7 == 3 else noise(200_000, i) if i % 11 == 5 else noise(i * 40, i)
+        raw = record("response", f"http://{i}.com/", page(body))
+        data += gzip.compress(raw, compresslevel=0 if i % 7 == 3 else 9)
+    assert sum(member in data for member in members) > 20
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    whole = [r[1:] for r in split((tmp_path / "a.warc.gz").read_bytes())]
+    assert len(whole) == 60
+    for size in (1_000, 7_777, 50_000, 300_000, 10**9):
+        cut = by_stretches(tmp_path / "a.warc.gz", size)
+        assert [r[1:] for r in cut] == whole
+        assert [r[0] for r in cut] == sorted({r[0] for r in cut})
+
+
+def test_stretches_of_other_archives(tmp_path):
+    raws = [record("response", f"http://{i}.com/", page(noise(500, i))) for i in range(20)]
+    (tmp_path / "plain").write_bytes(b"".join(raws))
+    (tmp_path / "shared").write_bytes(gzip.compress(b"".join(raws)))
+    for name in ("plain", "shared"):
+        whole = [r[1:] for r in split((tmp_path / name).read_bytes())]
+        assert [r[1:] for r in by_stretches(tmp_path / name, 1000)] == whole and len(whole) == 20
+
+
+def test_stretches_around_damage(tmp_path):
+    raws = [record("response", f"http://{i}.com/", page(noise(4000, i))) for i in range(100)]
+    places = archive(tmp_path / "a.warc.gz", *raws)
+    data = bytearray((tmp_path / "a.warc.gz").read_bytes())
+    data[places[50][0] + 2000] ^= 0xFF
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    got = by_stretches(tmp_path / "a.warc.gz", 60_000)
+    read = [r[5] for r in got if r[-1] is None]
+    assert len(read) == len(set(read)) and {f"http://{i}.com/" for i in range(50)} <= set(read)
+    assert [r for r in got if r[-1] is not None] and "http://99.com/" in read

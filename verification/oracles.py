@@ -205,6 +205,9 @@ from pages
     "warc_roundtrip": f"""
 select url as target_uri, md5(html) as digest, octet_length(encode(html)) as bytes,
   cast(null as varchar) as error from ({inputs.HTML_PAGES})
+""",
+    "warc_in_stretches": f"""
+select url as target_uri, md5(html) as digest, cast(null as varchar) as error from ({inputs.HTML_PAGES})
 """,
     "warc_by_coordinates": f"""
 select url, url as target_uri, 'response' as rec_type, md5(html) as digest from ({inputs.HTML_PAGES})

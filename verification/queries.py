@@ -215,6 +215,13 @@ def warc_roundtrip(spark, sf_dir):
     )
 
 
+def warc_in_stretches(spark, sf_dir):
+    folder, _ = _archives(spark, sf_dir)
+    cut = archives.cut_archives(archives.list_archives(spark, folder), stretch_bytes=50_000)
+    records = archives.read_records(cut, rec_types=("response",))
+    return records.select("target_uri", F.md5("payload").alias("digest"), "error")
+
+
 def warc_by_coordinates(spark, sf_dir):
     folder, index = _archives(spark, sf_dir)
     records = archives.fetch_records(index, base_uri=f"{folder}/")
@@ -347,6 +354,7 @@ QUERIES = {
     "links_limited_per_file": links_limited_per_file,
     "html_records": html_records,
     "warc_roundtrip": warc_roundtrip,
+    "warc_in_stretches": warc_in_stretches,
     "warc_by_coordinates": warc_by_coordinates,
     "warc_site_counts": warc_site_counts,
     "manifest_paths": manifest_paths,
