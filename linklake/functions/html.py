@@ -1,10 +1,10 @@
 """Anchor extraction as column expressions.
 
-A page is cut into markup tokens by one left-to-right pattern. Comments,
-declarations, script and style bodies and every other tag are tokens too, so an
-anchor inside any of them is never seen. All loops over unbounded text are
-possessive or over a single character class: Java runs those without recursion,
-so page length does not matter.
+One pattern runs over a page from left to right and stops at each anchor tag.
+Comments, declarations, script and style bodies and every other tag are passed over
+whole, so an anchor inside any of them is never seen. Loops over unbounded text are
+either over one character class or possessive: Java runs both without recursion, the
+first in a tight loop, so page length does not matter.
 """
 
 from __future__ import annotations
@@ -21,35 +21,50 @@ from linklake.functions.text import WHITESPACE, clean_link
 # The schemes an anchor must start with to be kept.
 LINK_PREFIXES = ("http://", "https://")
 
-_WS = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
+# White space for use inside a character class: single characters up to U+00FF,
+# which Java tests with one table look-up, then the rest as short ranges.
+_WS = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE if c < "\u0100") + (
+    r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _NAME_END = r"[\t\n\r\f />\x00]"
 _GAP = rf"(?:[{_WS}]|/(?!>))"
-_VALUE = rf"""(?:'[^']*+'|"[^"]*+"|(?!['"])[^>{_WS}]*)"""
+_VALUE = rf"""(?:'[^']*'|"[^"]*"|(?!['"])[^>{_WS}]*)"""
 _VALUED = rf"(?:[{_WS}]*=+[{_WS}]*{_VALUE})?+"
-_NAME = rf"""(?<=['"/{_WS}])[^{_WS}/>][^{_WS}/=>]*+"""
+_NAME = rf"""(?<=['"/{_WS}])[^{_WS}/>][^{_WS}/=>]*"""
 _ATTRS = rf"(?:{_GAP}*+(?:{_NAME}{_VALUED}{_GAP}*+)*+)"
 
 
 def _raw_text_element(name: str) -> str:
+    """The element up to its end tag or, without one, to the end of the page."""
+    end_tag = rf"</[{_WS}]*(?i:{name})[{_WS}]*>"
     return (
         rf"(?i:{name})(?={_NAME_END}){_ATTRS}[{_WS}]*>"
-        rf"(?:[\s\S]*?</[{_WS}]*(?i:{name})[{_WS}]*>|[\s\S]*+)"
+        rf"(?:[^<]+|(?!{end_tag})<)*+(?:{end_tag}|\z)"
     )
 
 
-_TOKEN = "<(?:" + "|".join(
+_ANCHOR = rf"[aA](?={_NAME_END}){_ATTRS}[{_WS}]*/?>"
+_OTHER_MARKUP = "|".join(
     [
-        rf"!--[\s\S]*?--[{_WS}]*>",
+        rf"!--(?:[^-]+|-(?!-[{_WS}]*>))*+--[{_WS}]*>",
         rf"!\[(?i:temp|cdata|ignore|include|rcdata)(?![-_.a-zA-Z0-9])[\s\S]*?\][{_WS}]*\][{_WS}]*>",
         rf"!\[(?i:if|else|endif)(?![-_.a-zA-Z0-9])[\s\S]*?\][{_WS}]*>",
-        r"[!?/][^>]*+>",
+        r"[!?/][^>]*>",
         _raw_text_element("script"),
         _raw_text_element("style"),
-        rf"[aA](?={_NAME_END})({_ATTRS})[{_WS}]*/?>",
-        rf"[a-zA-Z][^\t\n\r\f />\x00]*+{_ATTRS}[{_WS}]*/?>",
-        r"[a-zA-Z][^>]*+>",
+        rf"[a-zA-Z][^\t\n\r\f />\x00]*{_ATTRS}[{_WS}]*/?>",
+        r"[a-zA-Z][^>]*>",
     ]
-) + ")"
+)
+# The bulk of all tags, told by their first characters: end tags, and start tags
+# without attributes whose name starts neither like an anchor nor a script or style.
+_COMMON_TAG = r"/[^>]*>|[b-rt-zB-RT-Z][a-zA-Z0-9]*>"
+# From the end of the last match over all text and other markup to the next anchor
+# tag, whose attributes are captured, or to the end of the page.
+_NEXT_ANCHOR = (
+    rf"\G(?:[^<]+|<(?:{_COMMON_TAG}|(?!{_ANCHOR})(?:{_OTHER_MARKUP}|)))*+"
+    rf"(?:<[aA](?={_NAME_END})({_ATTRS})[{_WS}]*/?>|\z)"
+)
 _ATTR = rf"""(?:((?<=['"/{_WS}])[hH][rR][eE][fF](?![^{_WS}/=>]){_VALUED})|{_NAME}{_VALUED})"""
 _HREF_VALUE = rf"(?s)\A.{{4}}[{_WS}]*=+[{_WS}]*({_VALUE})\z"
 
@@ -118,27 +133,29 @@ def _named_reference(name: Column) -> Column:
     )
 
 
-def unescape(text: Column) -> Column:
-    """Resolve HTML character references, named and numeric."""
+def _resolve(piece: Column) -> Column:
+    """Text for a piece that followed an ampersand: ``ref`` and ``rest``."""
+    ref, rest = piece["ref"], piece["rest"]
+    body = F.rtrim(ref, F.lit(";"))
+    resolved = (
+        F.when(ref == "", F.lit("&"))
+        .when(ref.rlike(r"\A#[xX]"), _numeric_reference(F.substring(body, F.lit(3), F.length(body)), 16))
+        .when(ref.startswith("#"), _numeric_reference(F.substring(body, F.lit(2), F.length(body)), 10))
+        .otherwise(_named_reference(ref))
+    )
+    return F.concat(resolved, rest)
+
+
+def _cut_reference(piece: Column) -> Column:
+    ref = F.regexp_extract(piece, _REFERENCE, 1)
+    return F.struct(ref.alias("ref"), F.substring(piece, F.length(ref) + 1, F.length(piece)).alias("rest"))
 
-    def resolve(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, _REFERENCE, 1)
-        rest = F.substring(piece, F.length(ref) + 1, F.length(piece))
-        body = F.rtrim(ref, F.lit(";"))
-        resolved = (
-            F.when(ref.rlike(r"\A#[xX]"), _numeric_reference(F.substring(body, F.lit(3), F.length(body)), 16))
-            .when(ref.startswith("#"), _numeric_reference(F.substring(body, F.lit(2), F.length(body)), 10))
-            .otherwise(_named_reference(ref))
-        )
-        return F.when(ref == "", F.concat(F.lit("&"), piece)).otherwise(
-            F.concat(resolved, rest)
-        )
 
+def unescape(text: Column) -> Column:
+    """Resolve HTML character references, named and numeric."""
     pieces = F.split(text, "&", -1)
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolve), ""),
-    )
+    later = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _cut_reference)
+    decoded = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(later, _resolve), ""))
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
@@ -148,23 +165,29 @@ def is_absolute_link(href: Column) -> Column:
     return starts & ~href.isin(*LINK_PREFIXES)
 
 
-def _href(attributes: Column) -> Column:
-    """Value of the last ``href`` among a tag's attributes, references resolved."""
-    hrefs = F.filter(
-        F.regexp_extract_all(attributes, F.lit(_ATTR), F.lit(1)), lambda a: a != ""
-    )
-    value = F.regexp_extract(F.try_element_at(hrefs, F.lit(-1)), _HREF_VALUE, 1)
+def _last_href(attributes: Column) -> Column:
+    """The last ``href`` attribute of a tag, as written; null if it has none."""
+    hrefs = F.regexp_extract_all(attributes, F.lit(_ATTR), F.lit(1))
+    return F.try_element_at(F.filter(hrefs, lambda attribute: attribute != ""), F.lit(-1))
+
+
+def _unquoted(value: Column) -> Column:
     quoted = value.startswith('"') | value.startswith("'")
-    bare = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-    return unescape(bare)
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
 def anchor_hrefs(html: Column) -> Column:
-    """All ``<a href>`` values of a page in page order, relative ones included."""
+    """All ``<a href>`` values of a page in page order, relative ones included.
+
+    One small step after another over the array: what a step works out for an
+    element is bound to the next one's variable and never worked out twice.
+    """
     attributes = F.filter(
-        F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(1)), lambda a: a != ""
+        F.regexp_extract_all(html, F.lit(_NEXT_ANCHOR), F.lit(1)), lambda found: found != ""
     )
-    return F.filter(F.transform(attributes, _href), lambda h: h.isNotNull())
+    written = F.filter(F.transform(attributes, _last_href), lambda href: href.isNotNull())
+    values = F.transform(written, lambda href: F.regexp_extract(href, _HREF_VALUE, 1))
+    return F.transform(F.transform(values, _unquoted), unescape)
 
 
 def anchor_links(html: Column) -> Column:

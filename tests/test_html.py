@@ -44,7 +44,7 @@ def parsed(text):
 
 def test_anchors_equal_the_standard_parser(spark):
     rnd, texts, want = random.Random(3), [], []
-    while len(texts) < 5000:
+    while len(texts) < 8000:
         text = "".join(rnd.choices(TOKENS, k=rnd.randint(1, 25)))
         try:
             want.append(parsed(text))
