@@ -29,7 +29,16 @@ def clean_link(link: Column) -> Column:
     Quoting of links that hold a comma belongs to the link file and is done by
     ``sinks.links.link_line``.
     """
-    return F.translate(F.trim(link, F.lit(WHITESPACE)), LINK_DIRT, "")
+    return F.regexp_replace(F.trim(link, F.lit(WHITESPACE)), f"[{LINK_DIRT}]+", "")
+
+
+def has_clean_text(link: Column) -> Column:
+    """True if something is left of a link once it is cleaned.
+
+    Told from the raw link, mostly by its first character: a filter on the cleaned
+    link would be pushed below the cleaning and have it done twice.
+    """
+    return link.isNotNull() & ~link.rlike(rf"\A[{WHITESPACE}]*[{LINK_DIRT}]*[{WHITESPACE}]*\z")
 
 
 def is_nonempty(link: Column) -> Column:

@@ -128,10 +128,15 @@ def is_plain_url(link: Column) -> Column:
     return link.rlike(_PLAIN)
 
 
+def is_valid_odd_url(link: Column) -> Column:
+    """``is_valid_url`` for links that are not plain, which need the full check."""
+    return _prepared(link).rlike(_valid_pattern())
+
+
 def is_valid_url(link: Column) -> Column:
     """False for unbalanced or non-IP brackets and for authorities that NFKC
     would turn into something with a reserved character."""
-    return is_plain_url(link) | _prepared(link).rlike(_valid_pattern())
+    return is_plain_url(link) | is_valid_odd_url(link)
 
 
 def primary_link(link: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linklake.functions import urls
-from linklake.functions.text import is_nonempty
 
 # Subsections one row may hold. A site with more is spread over rows told apart
 # by ``part``; no subsection is lost.
@@ -42,7 +41,7 @@ def site_links(links: DataFrame) -> DataFrame:
     links pass by the first pattern.
     """
     link = F.col("link")
-    kept = links.where(urls.is_plain_url(link) | (is_nonempty(link) & urls.is_valid_url(link)))
+    kept = links.where(urls.is_plain_url(link) | ((link != "") & urls.is_valid_odd_url(link)))
     section = F.when(~urls.is_root(F.col("_path")), F.col("_path"))
     # Never null from here on, and declared so: joins by site then add no null test,
     # which would split plans that should share one shuffle.

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster run should start from. Nothing here depends on data size:
 # partition counts are left to adaptive execution.
@@ -33,3 +35,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="linklake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def persisted(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows that several jobs read, and let go of them after."""
+    rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linklake.functions.text import clean_link, is_nonempty
+from linklake.functions.text import clean_link, has_clean_text
 from linklake.sources.tables import LINK_TABLE
 
 
@@ -20,9 +20,9 @@ def write_link_files(links: DataFrame, path: str, mode: str = "errorifexists") -
 
     Readers take the folder, so no step merges the parts into one file.
     """
-    cleaned = links.select(clean_link(F.col("link")).alias("link"))
-    kept = cleaned.where(is_nonempty(F.col("link")))
-    kept.select(link_line(F.col("link")).alias("value")).write.mode(mode).text(path)
+    kept = links.where(has_clean_text(F.col("link")))
+    cleaned = kept.select(clean_link(F.col("link")).alias("link"))
+    cleaned.select(link_line(F.col("link")).alias("value")).write.mode(mode).text(path)
 
 
 def merge_link_files(spark: SparkSession, *paths: str) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import column
 from pyspark.sql import functions as F
 
 from linklake.functions import html as page
-from linklake.functions.text import clean_link
+from linklake.functions.text import clean_link, has_clean_text
 
 TOKENS = [
     "<a ", "<A\n", "<a", "<abbr ", "href=", "HREF = ", "href", "data-href=", '"http://x.com/?a=1&amp;b"',
@@ -88,3 +88,6 @@ def test_clean_link(spark):
         for r in raw
     ]
     assert column(spark, raw, clean_link(F.col("v"))) == want
+    made = ["".join(random.Random(i).choices(' \n"\x00x\u3000', k=i % 5)) for i in range(2000)]
+    kept = [bool(m.strip().translate({10: None, 13: None, 0: None, 34: None})) for m in made]
+    assert column(spark, made + [None], has_clean_text(F.col("v"))) == kept + [False]

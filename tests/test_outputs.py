@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from linklake.operators import metrics
 from linklake.plans import archive_job
+from linklake.session import persisted, work_folder
 from linklake.sinks import links as link_sink
 from linklake.sinks import tables as table_sink
 from linklake.sources import tables
@@ -90,3 +91,15 @@ def test_coordinate_readers(spark, tmp_path):
     assert row == ("u", "f", 1, 2)
     same = tables.read_coordinates(spark, str(tmp_path / "c.csv"), "csv", ["header=True", "inferSchema=True"])
     assert tuple(same.first()) == row
+
+
+def test_persisted(spark):
+    rows = spark.range(5)
+    with persisted(rows) as kept:
+        assert kept.storageLevel.useMemory and kept.count() == 5
+    assert not rows.storageLevel.useMemory
+
+
+def test_work_folder(spark):
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))

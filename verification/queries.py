@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linklake.functions import records as rec
 from linklake.functions import urls
-from linklake.functions.text import clean_link, decode_with_charset, is_nonempty
+from linklake.functions.text import clean_link, decode_with_charset, has_clean_text
 from linklake.operators import anchors, enrich, key_values, metrics, sites
 from linklake.plans import archive_job, link_pipeline
 from linklake.session import work_folder
@@ -60,7 +60,7 @@ def homepage_split(spark, sf_dir):
 
 def clean_links(spark, sf_dir):
     dirty = inputs.rows(spark, sf_dir, "lineitem", inputs.DIRTY_LINKS)
-    cleaned = dirty.select(clean_link(F.col("link")).alias("link")).where(is_nonempty(F.col("link")))
+    cleaned = dirty.where(has_clean_text(F.col("link"))).select(clean_link(F.col("link")).alias("link"))
     return cleaned.groupBy("link").agg(F.count(F.lit(1)).alias("links"))
 
 
