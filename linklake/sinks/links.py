@@ -30,10 +30,11 @@ def merge_link_files(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def create_link_table(spark: SparkSession, table: str = LINK_TABLE) -> None:
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (id BIGINT, link STRING NOT NULL) USING parquet"
-    )
+def create_link_table(spark: SparkSession, table: str = LINK_TABLE, location: str | None = None) -> None:
+    """The link table, in the warehouse or at a location, if it is missing."""
+    place = f" LOCATION '{location}'" if location else ""
+    columns = "(id BIGINT, link STRING NOT NULL)"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {columns} USING parquet{place}")
 
 
 def append_links(links: DataFrame, table: str = LINK_TABLE) -> None:

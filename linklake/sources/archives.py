@@ -26,6 +26,8 @@ ARCHIVE_GLOB = "*.warc.gz"
 DATA_URL = r"^(s3|https?|file|hdfs):(?://([^/]*))?/(.*)"
 BATCH_BYTES = 16 << 20
 STRETCH_BYTES = 256 << 20
+# Tasks of one stage the scheduler is asked for at most; beyond, each reads more.
+MAX_TASKS = 100_000
 BATCH_ROWS = 2000
 
 _HEADER_MAP = pa.map_(pa.string(), pa.string())
@@ -58,9 +60,13 @@ def list_archives(spark: SparkSession, folder: str, glob: str = ARCHIVE_GLOB) ->
 def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: int | None = None) -> DataFrame:
     """Listed archives cut into byte stretches and spread over tasks.
 
-    For archives too big for one task: however much of the data one file holds,
-    a task reads one stretch of it.
+    However much of the data one file holds, a task reads stretches of about
+    ``stretch_bytes``. The task count follows from the sizes in the listing: one
+    number, summed from metadata alone.
     """
+    if tasks is None:
+        stretches = F.sum(F.ceil(F.col("file_bytes") / stretch_bytes))
+        tasks = min(max(paths.agg(stretches).first()[0] or 1, 1), MAX_TASKS)
     number = F.explode(F.sequence(F.lit(0), F.floor((F.col("file_bytes") - 1) / stretch_bytes).cast("int")))
     cut = paths.where(F.col("file_bytes") > 0).select("warc_file", number.alias("stretch")).select(
         "warc_file",
@@ -68,8 +74,7 @@ def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: in
         (F.col("stretch").cast("bigint") * stretch_bytes).alias("start"),
         ((F.col("stretch").cast("bigint") + 1) * stretch_bytes).alias("end"),
     )
-    count = tasks or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut.repartition(count, "warc_file", "stretch")
+    return cut.repartition(tasks, "warc_file", "stretch")
 
 
 def archive_paths(

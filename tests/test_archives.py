@@ -214,3 +214,18 @@ def test_stretches_around_damage(tmp_path):
     read = [r[5] for r in got if r[-1] is None]
     assert len(read) == len(set(read)) and {f"http://{i}.com/" for i in range(50)} <= set(read)
     assert [r for r in got if r[-1] is not None] and "http://99.com/" in read
+
+
+def test_cut_archives_follows_sizes(spark, tmp_path):
+    raws = [record("response", f"http://{i}.com/", page(noise(500, i))) for i in range(40)]
+    archive(tmp_path / "big.warc.gz", *raws)
+    archive(tmp_path / "small.warc.gz", raws[0])
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    listed = archives.list_archives(spark, str(tmp_path))
+    cut = archives.cut_archives(listed, stretch_bytes=4_000)
+    total = sum(-(-p.stat().st_size // 4_000) for p in tmp_path.iterdir())
+    assert cut.rdd.getNumPartitions() == cut.count() == total > 5
+    got = sorted(r.target_uri for r in archives.read_records(cut).collect())
+    assert got == sorted([f"http://{i}.com/" for i in range(40)] + ["http://0.com/"])
+    (tmp_path / "none").mkdir()
+    assert archives.read_records(archives.cut_archives(archives.list_archives(spark, str(tmp_path / "none")))).count() == 0

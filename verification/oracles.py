@@ -232,6 +232,19 @@ select case page_id % 6 when 5 then 'request' when 4 then 'conversion' when 3 th
     else 'response' end as key, cast(sum(octet_length(encode(html))) as bigint) as val
 from ({inputs.HTML_PAGES}) group by 1
 """,
+    "archive_job_table": f"""
+select regexp_extract(url, '^([a-z]+)', 1) as key, cast(sum(octet_length(encode(html))) as bigint) as val
+from ({inputs.HTML_PAGES}) group by 1
+""",
+    "index_job_table": inputs.INDEX_QUERY.replace("page_index", "pages"),
+    "index_record_job_table": f"""
+select regexp_extract(url, '^([a-z]+)', 1) as key, max(octet_length(encode(html))) as val
+from ({inputs.HTML_PAGES}) group by 1
+""",
+    "job_counters": """
+select count(*) as inputs, count(*) as records, cast(0 as bigint) as failed from pages
+""",
+    "link_table_roundtrip": f"with {_PARTS} select link, 2 * count(*) as links from l group by link",
     "index_sql_select": inputs.INDEX_QUERY.replace("page_index", "pages"),
     "selection_count": f"select count(*) as matched from ({inputs.INDEX_QUERY.replace('page_index', 'pages')})",
 }

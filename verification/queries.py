@@ -285,6 +285,57 @@ def selection_count(spark, sf_dir):
     return index_sql_select(spark, sf_dir).agg(F.count(F.lit(1)).alias("matched"))
 
 
+def _output(spark, name: str) -> archive_job.Output:
+    """A job's table under the shared working folder, with a name of its own."""
+    folder = work_folder(spark, name)
+    return archive_job.Output(folder.rsplit("/", 1)[1].replace("-", "_"), options=[f"path={folder}"], files=None)
+
+
+def _response_bytes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        found = frame[frame["rec_type"] == "response"]
+        yield pd.DataFrame(
+            {"key": found["target_uri"].str.split(":").str[0], "val": found["payload"].map(len)}
+        )
+
+
+def archive_job_table(spark, sf_dir):
+    folder, _ = _archives(spark, sf_dir)
+    names = archives.list_archives(spark, folder).select(F.substring_index("warc_file", "/", -1))
+    names.write.text(f"{folder}-list")
+    output = _output(spark, "archive-job")
+    archive_job.run_archive_job(
+        spark, f"{folder}-list", output, _response_bytes, base_uri=f"{folder}/", partitions=8
+    )
+    return spark.table(output.table)
+
+
+def index_job_table(spark, sf_dir):
+    output = _output(spark, "index-job")
+    archive_job.run_index_job(
+        spark, f"{sf_dir}/pages.parquet", inputs.INDEX_QUERY, output, view="page_index"
+    )
+    return spark.table(output.table)
+
+
+def index_record_job_table(spark, sf_dir):
+    folder, index = _archives(spark, sf_dir)
+    output = _output(spark, "index-record-job")
+    archive_job.run_index_record_job(
+        spark, index, output, _response_bytes, base_uri=f"{folder}/", reducer=F.max("val"), partitions=8
+    )
+    return spark.table(output.table)
+
+
+def job_counters(spark, sf_dir):
+    folder, index = _archives(spark, sf_dir)
+    counts = archive_job.run_index_record_job(
+        spark, index, _output(spark, "counted-job"), _response_bytes, base_uri=f"{folder}/", partitions=8
+    )
+    names = ["inputs", "records", "failed"]
+    return spark.range(1).select(*[F.lit(counts[n]).cast("bigint").alias(n) for n in names])
+
+
 # --- sinks ----------------------------------------------------------------------
 
 
@@ -296,6 +347,15 @@ def link_file_roundtrip(spark, sf_dir):
     return back.groupBy("link").agg(F.count(F.lit(1)).alias("links"))
 
 
+def link_table_roundtrip(spark, sf_dir):
+    folder = work_folder(spark, "link-table")
+    table = folder.rsplit("/", 1)[1].replace("-", "_")
+    link_sink.create_link_table(spark, table, location=folder)
+    for _ in range(2):
+        link_sink.append_links(inputs.links(spark, sf_dir), table)
+    return tables.read_links(spark, table).groupBy("link").agg(F.count(F.lit(1)).alias("links"))
+
+
 def partitioned_sink_roundtrip(spark, sf_dir):
     folder = work_folder(spark, "sites")
     table = _enriched(spark, sf_dir)
@@ -365,6 +425,11 @@ QUERIES = {
     "record_hook_sum": record_hook_sum,
     "index_sql_select": index_sql_select,
     "selection_count": selection_count,
+    "archive_job_table": archive_job_table,
+    "index_job_table": index_job_table,
+    "index_record_job_table": index_record_job_table,
+    "job_counters": job_counters,
+    "link_table_roundtrip": link_table_roundtrip,
     "link_file_roundtrip": link_file_roundtrip,
     "partitioned_sink_roundtrip": partitioned_sink_roundtrip,
     "stream_site_frequency": stream_site_frequency,
