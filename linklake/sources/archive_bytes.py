@@ -233,6 +233,9 @@ def _warc_record(source: _Unpacked):
             size = int(headers["content-length"])
         except (KeyError, ValueError):
             raise ArchiveError("record has no content length") from None
+        target = headers.get("warc-target-uri", "")
+        if target.startswith("<") and target.endswith(">"):  # as some writers put it
+            headers["warc-target-uri"] = target[1:-1]
         return headers, source.exactly(size)
     # The older format: one line of blank-separated fields, the length last.
     fields = _text(version).split()

@@ -229,3 +229,7 @@ def test_cut_archives_follows_sizes(spark, tmp_path):
     assert got == sorted([f"http://{i}.com/" for i in range(40)] + ["http://0.com/"])
     (tmp_path / "none").mkdir()
     assert archives.read_records(archives.cut_archives(archives.list_archives(spark, str(tmp_path / "none")))).count() == 0
+
+
+def test_target_in_angle_brackets():
+    assert split(record("response", "<http://a.com/>", page(b"x")))[0][5] == "http://a.com/"
