@@ -24,6 +24,7 @@ from linklake.llm.words import covered, hashes, windows, words_of
 
 SYMBOLS = b"#*$%&|<>"
 _CONTINUATION = bytes(range(0x80, 0xC0))
+FALSE_ALARM = 0.002
 SIGNALS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long, n_distinct long"
 
 
@@ -92,13 +93,13 @@ class VoteModel:
         return 1 / (1 + F.exp(-total))
 
 
-def fitted(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> VoteModel:
+def fitted(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, false_alarm: float = FALSE_ALARM) -> VoteModel:
     """Expectation-maximisation over distinct vote patterns and how often each occurs.
 
     The hidden classes are named by the start: a pattern begins as bad if any rule says
     so, since texts are bad in different ways that seldom meet. Every class and vote gets
-    one pseudo-count, and a rule keeps its direction: a vote never counts for the
-    opposite class.
+    one pseudo-count, a rule keeps its direction (a vote never counts for the opposite
+    class), and the chance that a rule calls a good text bad stays below ``false_alarm``.
     """
     shown = np.stack([patterns == vote for vote in (-1, 0, 1)], axis=2)  # pattern, rule, vote
     good = np.where((patterns == 0).any(1), 0.05, 0.95)
@@ -107,6 +108,7 @@ def fitted(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> VoteM
         weight = np.stack([(1 - good) * counts, good * counts])  # class, pattern
         prior = np.clip((weight[1].sum() + 1) / (total + 2), 0.01, 0.99)
         chance = (np.einsum("cp,prv->crv", weight, shown) + 1) / (weight.sum(1)[:, None, None] + 3)
+        chance[1, :, 1] = np.minimum(chance[1, :, 1], false_alarm)
         odds = np.log(chance[1]) - np.log(chance[0])  # rule, vote
         odds[:, 1] = np.minimum(odds[:, 1], 0)
         odds[:, 2] = np.maximum(odds[:, 2], 0)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linklake.llm import bpe, jaccard, packing, quality, substrings, token_counts
+from linklake.llm import bpe, jaccard, packing, quality, substrings, token_counts, toxicity
 from linklake.llm.tables import ship, stored, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,18 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.sequences(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    features = toxicity.lexicon(docs, table(spark, folder, "labels"))
+    seen = toxicity.looked_at(F.col("text"), features).alias("seen")
+    rows = stored(docs.select(F.col("doc_id").alias("ident"), seen), "votes")
+    score = toxicity.trained(rows, features).score(F.col("seen"))
+    return rows.select(
+        F.col("ident").alias("doc_id"), toxicity.held_out(F.col("ident")).alias("held_out"), score.alias("score"),
+        (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(table(spark, folder, "documents"))
 
@@ -61,5 +73,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op1_byte_bpe, op3_quality_rules, op6_best_fit_packing, op8_ngram_jaccard, op9_substring_dedup, op10_token_counts)
+    for f in (op1_byte_bpe, op3_quality_rules, op6_best_fit_packing, op7_toxicity, op8_ngram_jaccard, op9_substring_dedup, op10_token_counts)
 }
