@@ -11,7 +11,7 @@ place are cut again with chunks and overlaps four times as long, in the end in o
 
 Decoding joins the raw bytes of the tokens.
 
-Edge cases: null and empty texts have no tokens; repeated rows give repeated results;
+Edge cases: null and empty texts have no tokens; a null id stays null; repeated rows give repeated results;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,7 +30,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linklake.llm.tables import stored
+from linklake.llm.tables import ids as known_ids
+from linklake.llm.tables import ids_back, stored
 
 CHUNK = 16_384
 OVERLAP = 1_024
@@ -168,7 +169,7 @@ def _stitched(chunks: DataFrame) -> DataFrame:
 
 def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Per row: id, token count, digest of the ids and digest of the decoded bytes."""
-    rows = docs.select(F.col(ident).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(known_ids(ident).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     digests = _digests(path, pattern)
     one = rows.where(F.char_length("text") <= chunk).select("doc", digests("text").alias("d")).select("doc", "d.*")
     left = rows.where(F.char_length("text") > chunk).groupBy("doc", "text").agg(F.count("*").alias("copies"))
@@ -198,4 +199,4 @@ def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", tex
     total = results[0]
     for more in results[1:]:
         total = total.union(more)
-    return total.withColumnRenamed("doc", ident)
+    return total.select(ids_back(F.col("doc")).alias(ident), "n_tokens", "ids_sha256", "decoded_sha256")

@@ -18,7 +18,8 @@ of a fixed-size frequency sketch last, and permute the others by different seeds
 Overlaps are counted on 64-bit shingle hashes.
 
 Edge cases: null, empty and blank texts have an empty set and link with nothing; fewer
-words than a shingle are one shingle; equal texts link; rows that share an id count as
+words than a shingle are one shingle; rows without an id share the id null, which counts
+as the smallest; equal texts link; rows that share an id count as
 one node; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linklake.llm.components import component_labels
-from linklake.llm.tables import stored
+from linklake.llm.tables import ids, ids_back, stored
 from linklake.llm.words import hashes, mixed, windows, words_of
 
 SHINGLE = 5
@@ -293,7 +294,7 @@ def _candidates(percent: int):
 def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(ident).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"))
+    rows = docs.select(ids(ident).alias("doc"), F.col(text).cast("binary").alias("text"))
     members = stored(rows.mapInPandas(_members(size), "doc long, n int, k1 long, k2 long"), "members")
     classes_of = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("rep"))
     members = stored(
@@ -333,7 +334,9 @@ def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size:
     pairs = stored(cells.mapInPandas(_candidates(percent), "a long, b long").distinct(), "candidates")
     links = links.union(stored(_links(pairs, sets, percent, crowd, ORDER_SEEDS[1:]), "links"))
     final = _labels(reps, links)
-    return members.join(final, "doc").select(F.col("doc").alias(ident), F.col("n").cast("long").alias("n_shingles"), F.col("label").alias("component_id"))
+    return members.join(final, "doc").select(
+        ids_back(F.col("doc")).alias(ident), F.col("n").cast("long").alias("n_shingles"), ids_back(F.col("label")).alias("component_id")
+    )
 
 
 def _labels(reps: DataFrame, links: DataFrame) -> DataFrame:

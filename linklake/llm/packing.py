@@ -7,7 +7,7 @@ which pack them best-fit again, and so on up a tree until one group is left. A b
 carries its pieces along; it never holds more than ``budget`` of them. A group larger
 than ``BLOCK`` items is packed in blocks, so memory does not grow with the data.
 
-Edge cases: null and empty texts are one piece that holds only the end token; a text is
+Edge cases: a null id stays null; null and empty texts are one piece that holds only the end token; a text is
 cut only if it is longer than the budget; repeated rows are packed each for itself; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linklake.llm.tables import stored
+from linklake.llm.tables import ids, ids_back, stored
 
 BUDGET = 2_048
 END_ID = 0
@@ -85,7 +85,7 @@ def _pieces(path: str, budget: int):
 
 
 def pieces(docs: DataFrame, path: str, ident: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
-    rows = docs.select(F.col(ident).cast("long").alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(ids(ident).alias("doc"), F.col(text).alias("text"))
     return rows.mapInPandas(_pieces(path, budget), PIECE)
 
 
@@ -196,5 +196,5 @@ def sequences(docs: DataFrame, path: str, ident: str = "doc_id", text: str = "te
     """One row a piece: where it comes from and where it is placed."""
     found = packed(pieces(docs, path, ident, text, budget), budget)
     return found.select(
-        F.col("doc").alias(ident), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+        ids_back(F.col("doc")).alias(ident), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linklake.llm import bpe, jaccard, packing, quality, substrings, token_counts, toxicity
+from linklake.llm import bpe, html_tree, jaccard, mtree, packing, quality, substrings, token_counts, toxicity, warc_dictionary
 from linklake.llm.tables import ship, stored, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,10 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op2_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return html_tree.extracted(table(spark, folder, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     rows = stored(docs.select("doc_id", quality.signals(F.col("text").cast("binary")).alias("s")), "signals")
@@ -33,6 +37,14 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_dictionary.roundtrip(table(spark, folder, "pages"))
+
+
+def op5_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.sequences(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -73,5 +85,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op1_byte_bpe, op3_quality_rules, op6_best_fit_packing, op7_toxicity, op8_ngram_jaccard, op9_substring_dedup, op10_token_counts)
+    for f in (op1_byte_bpe, op2_site_style_tree, op3_quality_rules, op4_warc_dictionary, op5_mtree_top_k, op6_best_fit_packing, op7_toxicity, op8_ngram_jaccard, op9_substring_dedup, op10_token_counts)
 }

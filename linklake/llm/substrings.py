@@ -12,7 +12,7 @@ are matched by a join whose hot keys adaptive execution splits.
 
 Edge cases: a null or empty text has no words and keeps the hash of an empty string;
 texts shorter than ``length`` lose nothing; rows with equal texts repeat each other;
-equal ids may repeat (a row is known by its id and a hash of its text, and equal rows
+ids may be null or repeat (a row is known by its id and a hash of its text, and equal rows
 get equal answers); an empty table gives an empty result; other columns are ignored
 by ``removals`` and carried by ``without_repeats``.
 """
@@ -124,7 +124,7 @@ def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> Data
         .agg(F.collect_set("h").alias("found"))  # bounded by one text's length
     )
     level = stored(
-        rows.join(found, "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
+        rows.join(found.hint("shuffle_hash"), "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
         "windows",
     )
     again = level.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
@@ -174,7 +174,7 @@ def _matched(docs: DataFrame, ident: str, text: str, length: int) -> DataFrame:
     """Every row (as ``row``) with its repeated places, or null."""
     places = repeated_places(docs, ident, text, length)
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(ident), F.col(text)).alias("row_key"))
-    return rows.join(places, "row_key", "left")
+    return rows.join(places.hint("shuffle_hash"), "row_key", "left")
 
 
 def removals(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 35) -> DataFrame:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from linklake.session import work_folder
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once a session, so that tasks can import it."""
@@ -40,6 +38,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def raw(text: str = "text") -> Column:
-    """A text column as UTF-8 bytes; null stays null."""
-    return F.col(text).cast("binary").alias("text")
+NO_ID = -(1 << 63)  # stands for a null id inside tasks
+
+
+def ids(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
+
+
+def ids_back(column: Column) -> Column:
+    return F.nullif(column, F.lit(NO_ID))

@@ -15,7 +15,7 @@ fields are the fields themselves: they are joined by a separator, which belongs
 field before it, and encoded as one text.
 
 Edge cases: null and empty texts have one empty section without tokens; a null field is an
-empty section; repeated rows give repeated results; an empty table gives an empty result;
+empty section; a null id stays null; repeated rows give repeated results; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linklake.llm.bpe import Codec, codec
+from linklake.llm.tables import ids, ids_back
 
 RULES = ("first", "last", "share")
 SECTION = "section int, start long, length long, n_tokens double, n_crossing long"
@@ -73,7 +74,7 @@ def line_ends(text: bytes) -> np.ndarray:
     return ends if len(ends) and ends[-1] == len(text) else np.append(ends, len(text))
 
 
-def _rows(path: str, pattern: str, rule: str, ident: str, cut):
+def _rows(path: str, pattern: str, rule: str, cut):
     """One output row a section; ``cut`` gives a value's text and the ends of its sections."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,15 +88,15 @@ def _rows(path: str, pattern: str, rule: str, ident: str, cut):
                 continue
             columns = [np.concatenate(c) for c in zip(*found, strict=True)]
             names = [part.split()[0] for part in SECTION.split(", ")]
-            yield pd.DataFrame({ident: batch[ident].repeat(sizes).to_numpy(), **dict(zip(names, columns, strict=True))})
+            yield pd.DataFrame({"doc": batch["doc"].repeat(sizes).to_numpy(), **dict(zip(names, columns, strict=True))})
 
     return run
 
 
 def _exploded(docs: DataFrame, ident: str, value: Column, path: str, pattern: str, rule: str, cut) -> DataFrame:
-    kind = docs.schema[ident].dataType.simpleString()
-    rows = docs.select(F.col(ident), value.alias("value"))
-    return rows.mapInPandas(_rows(path, pattern, _checked(rule), ident, cut), f"`{ident}` {kind}, {SECTION}")
+    rows = docs.select(ids(ident).alias("doc"), value.alias("value"))
+    found = rows.mapInPandas(_rows(path, pattern, _checked(rule), cut), f"doc long, {SECTION}")
+    return found.select(ids_back(F.col("doc")).alias(ident), *found.columns[1:])
 
 
 def line_counts(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text", rule: str = "first") -> DataFrame:

@@ -12,7 +12,7 @@
 
 Labels are read only where ``train`` holds. Scores depend on the text alone.
 
-Edge cases: null and empty texts have no hits and get the score of the bias; repeated rows
+Edge cases: a row without an id counts as held out; null and empty texts have no hits and get the score of the bias; repeated rows
 get equal scores; without labelled toxic rows the lexicons are empty and every score is
 low; an empty table gives an empty result; other columns are carried as they are.
 """
@@ -60,7 +60,7 @@ def word_features(word: bytes) -> tuple[str, ...]:
 
 
 def held_out(ident: Column) -> Column:
-    return F.crc32(ident.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
 def _mined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
