@@ -53,12 +53,12 @@ with recursive w as (
 ), links as (
   select a, b from c join n na on na.doc_id = a join n nb on nb.doc_id = b
   where 100 * common >= 75 * (na.n + nb.n - common)
-), both as (
+), ways as (
   select a, b from links union all select b, a from links
 ), reach(doc_id, other) as (
   select doc_id, doc_id from w
   union
-  select reach.doc_id, both.b from reach join both on reach.other = both.a
+  select reach.doc_id, ways.b from reach join ways on reach.other = ways.a
 )
 select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(reach.other) as component_id
 from w join reach using (doc_id) left join n using (doc_id) group by w.doc_id
