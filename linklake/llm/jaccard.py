@@ -2,19 +2,23 @@
 
 A document is the set of its distinct word shingles. Two sets whose Jaccard similarity
 reaches the threshold share a token among the first ``n - ceil(t * n) + 1`` of each set
-under *any* global order of tokens. The orders used here all put tokens of crowded cells
-of a fixed-size frequency sketch last, and permute the others by different seeds.
+under *any* global order of tokens. The orders used here put rare tokens first, as counted
+by a frequency sketch of fixed size; they differ in how finely they look at the counts and
+in the permutation of equals.
 
 1. Sets with equal content fall into one class; its smallest id stands for it.
 2. Rows (token, document) of the first order's prefixes are shuffled by token; tokens of
    one document alone go.
-3. Star rounds join the bulk: every document is verified against one partner, of the
-   documents that share most of its prefix tokens.
+3. A star round joins the bulk: every document is compared with one partner, the one
+   with which it shares most prefix tokens.
 4. Exact round: between documents that are not yet connected, all pairs that share a
    prefix token and pass size and overlap bounds are candidates; those whose prefixes
    also meet under the other orders are verified. Links inside a connected group change
    no group, so none is lost.
 
+The overlap bound counts, per hash bucket, how many tokens two sets can have in common.
+Whole sets are made only for documents of pairs that pass it.
+
 Overlaps are counted on 64-bit shingle hashes.
 
 Edge cases: null, empty and blank texts have an empty set and link with nothing; fewer
@@ -25,7 +29,6 @@ one node; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +43,12 @@ from linklake.llm.words import hashes, mixed, windows, words_of
 
 SHINGLE = 5
 PERCENT = 75
-CELLS = 1 << 19  # of the frequency sketch; its size never changes
+CELL_BITS = 21
+CELLS = 1 << CELL_BITS  # of the frequency sketch; its size never changes
 SLICE = 1 << 12
-ORDER_SEEDS = (0x51ED2701, 0x2545F491, 0x9E3779B1)
+ORDERS = ((0x51ED2701, 0), (0x2545F491, 4), (0x9E3779B1, 6))  # seed, and bits of a count left out
 BUCKETS = 128  # of the overlap bound
+BROADCAST_IDS = 200_000  # ids at most that are sent to all tasks; more are joined by a shuffle
 BLOCK = 4096  # documents of one token that meet in one task at a time
 _SEEN = 200_000
 
@@ -60,18 +65,33 @@ def needed(n: int | np.ndarray, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
-def order_keys(tokens: np.ndarray, classes: np.ndarray, seed: int) -> np.ndarray:
-    """Sort keys of a global order: crowded cells last, else by a seeded permutation."""
-    crowd = classes[(tokens >> np.uint64(64 - 19)).astype(np.int64)].astype(np.uint64)
-    return (crowd << np.uint64(58)) | (mixed(tokens, seed) >> np.uint64(6))
+def order_keys(tokens: np.ndarray, counts: np.ndarray, order: tuple[int, int]) -> np.ndarray:
+    """Sort keys of a global order: tokens of rare cells first, equals by a seeded permutation."""
+    seed, coarse = order
+    crowd = (counts[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)] >> np.uint16(coarse)).astype(np.uint64)
+    return (crowd << np.uint64(48)) | (mixed(tokens, seed) >> np.uint64(16))
 
 
-def prefix(tokens: np.ndarray, classes: np.ndarray, seed: int, percent: int) -> np.ndarray:
+def prefix(tokens: np.ndarray, counts: np.ndarray, order: tuple[int, int], percent: int) -> np.ndarray:
     size = len(tokens) - int(needed(len(tokens), percent)) + 1
-    keys = order_keys(tokens, classes, seed)
+    keys = order_keys(tokens, counts, order)
     return tokens[np.argpartition(keys, size - 1)[:size]] if size < len(tokens) else tokens
 
 
+def spread(tokens: np.ndarray) -> np.ndarray:
+    """Tokens in each bucket; all 255 where a bucket cannot be told in one byte."""
+    found = np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return np.full(BUCKETS, 255, np.uint8) if found.max(initial=0) > 254 else found.astype(np.uint8)
+
+
+def may_be_similar(n, spreads: np.ndarray, own_n, own_spread: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets can be similar, by their sizes and spreads (rows against one or rows)."""
+    most = np.minimum(spreads, own_spread).sum(-1, dtype=np.int64)
+    unknown = (spreads[..., 0] == 255) | (own_spread[..., 0] == 255)
+    most = np.where(unknown, np.minimum(n, own_n), most)
+    return 100 * most >= percent * (n + own_n - most)
+
+
 def _digest(tokens: np.ndarray) -> tuple[int, int]:
     value = xxhash.xxh3_128_intdigest(tokens.tobytes())
     signed = np.array([value >> 64, value & (2**64 - 1)], np.uint64).view(np.int64)
@@ -79,29 +99,23 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def _members(size: int):
+    """Per text its set's size, digest and spread; per task how many tokens fell into each
+    cell, as slices of fixed length (rows with ``part``)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["doc", "n", "k1", "k2", "data", "part"]
+        counts = np.zeros(CELLS, np.int32)
         for batch in batches:
-            rows = []
+            rows, found = [], []
             for doc, text in zip(batch["doc"], batch["text"], strict=True):
                 tokens = shingle_set(text, size)
-                rows.append((doc, len(tokens), *(_digest(tokens) if len(tokens) else (0, 0))))
-            yield pd.DataFrame(rows, columns=["doc", "n", "k1", "k2"])
-
-    return run
-
-
-def _sketch(size: int):
-    """Per task: how many tokens fell into each cell, as slices of fixed length."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            found = [shingle_set(text, size) for text in batch["text"]]
+                rows.append((doc, len(tokens), *(_digest(tokens) if len(tokens) else (0, 0)), spread(tokens).tobytes(), -1))
+                found.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int32))
             if found:
-                cells = (np.concatenate(found) >> np.uint64(64 - 19)).astype(np.int64)
-                counts += np.bincount(cells, minlength=CELLS)
+                np.add(counts, np.bincount(np.concatenate(found), minlength=CELLS), out=counts, casting="unsafe")
+            yield pd.DataFrame(rows, columns=names)
         parts = counts.reshape(-1, SLICE)
-        yield pd.DataFrame({"part": np.arange(len(parts)), "counts": [p.tobytes() for p in parts]})
+        yield pd.DataFrame([(0, 0, 0, 0, p.tobytes(), i) for i, p in enumerate(parts) if p.any()], columns=names)
 
     return run
 
@@ -109,27 +123,25 @@ def _sketch(size: int):
 def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, counts in zip(batch["part"], batch["counts"], strict=True):
-            values = np.frombuffer(counts, np.int64)
-            totals[part] = totals[part] + values if part in totals else values
+        for part, counts in zip(batch["part"], batch["data"], strict=True):
+            values = np.frombuffer(counts, np.int32)
+            totals[part] = totals[part] + values if part in totals else values.astype(np.int64)
     if totals:
-        yield pd.DataFrame({"part": list(totals), "counts": [v.tobytes() for v in totals.values()]})
+        # Only the order of counts matters, and 16 bits are enough to tell ranks apart.
+        yield pd.DataFrame({"part": list(totals), "data": [v.tobytes() for v in totals.values()]})
 
 
-def crowd_classes(docs: DataFrame, size: int) -> np.ndarray:
-    """A class from 0 (ordinary) up for each cell, by how far it stands above the mean."""
-    parts = docs.select("text").mapInPandas(_sketch(size), "part int, counts binary")
-    parts = parts.repartition("part").mapInPandas(_summed, "part int, counts binary")
+def cell_counts(slices: DataFrame) -> np.ndarray:
+    """The sketch: tokens of each cell, scaled down to 16 bits. CELLS numbers at any input size."""
     counts = np.zeros((CELLS // SLICE, SLICE), np.int64)
-    for row in parts.collect():  # CELLS numbers at any input size
-        counts[row["part"]] += np.frombuffer(row["counts"], np.int64)
-    flat = counts.reshape(-1).astype(float)
-    mean = flat.mean()
-    over = np.maximum(flat - mean - 5 * math.sqrt(mean) - 5, 0)
-    return np.ceil(np.log2(over + 1)).clip(0, 60).astype(np.uint8)
+    for row in slices.repartition("part").mapInPandas(_summed, "part int, data binary").collect():
+        counts[row["part"]] += np.frombuffer(row["data"], np.int64)
+    flat = counts.reshape(-1)
+    mean = max(1, int(flat.mean()))
+    return (flat * 256 // mean if mean > 256 else flat).clip(0, 65535).astype(np.uint16)
 
 
-def _prefixes(size: int, percent: int, classes):
+def _prefixes(size: int, percent: int, counts):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int]] = set()  # equal sets of one task are sent once
         for batch in batches:
@@ -144,7 +156,7 @@ def _prefixes(size: int, percent: int, classes):
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(key)
-                first = prefix(tokens, classes.value, ORDER_SEEDS[0], percent)
+                first = prefix(tokens, counts.value, ORDERS[0], percent)
                 tokens_out.append(first)
                 docs_out.append(np.full(len(first), doc, np.int64))
             yield pd.DataFrame({"token": np.concatenate(tokens_out).view(np.int64), "doc": np.concatenate(docs_out)})
@@ -173,12 +185,7 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _sets(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                tokens = shingle_set(text, size)
-                spread = np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                rows.append((doc, len(tokens), tokens.tobytes(), np.minimum(spread, 65535).astype(np.uint16).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc", "n", "tokens", "spread"])
+            yield pd.DataFrame({"doc": batch["doc"], "tokens": [shingle_set(text, size).tobytes() for text in batch["text"]]})
 
     return run
 
@@ -212,7 +219,20 @@ def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(left) + len(right) - common)
 
 
-def _verified(percent: int, classes, orders: tuple[int, ...]):
+def _bounded(percent: int):
+    """Pairs whose sizes and spreads allow them to be similar."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                left, right = (np.stack([np.frombuffer(v, np.uint8) for v in batch[c]]) for c in ("left", "right"))
+                may = may_be_similar(batch["na"].to_numpy(np.int64), left, batch["nb"].to_numpy(np.int64), right, percent)
+                yield batch.loc[may, ["a", "b"]]
+
+    return run
+
+
+def _verified(percent: int, counts, orders: tuple[tuple[int, int], ...]):
     """Pairs that meet in the prefixes of all given orders and are similar."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,20 +241,25 @@ def _verified(percent: int, classes, orders: tuple[int, ...]):
             for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
                 left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
                 if all(
-                    len(np.intersect1d(prefix(left, classes.value, s, percent), prefix(right, classes.value, s, percent), True))
-                    for s in orders
+                    len(np.intersect1d(prefix(left, counts.value, o, percent), prefix(right, counts.value, o, percent), True))
+                    for o in orders
                 ) and similar(left, right, percent):
                     kept.append((a, b))
-            yield pd.DataFrame(kept, columns=["a", "b"])
+            yield pd.DataFrame(kept, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, classes, orders=()) -> DataFrame:
+def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts, orders=()) -> DataFrame:
+    """The pairs that are similar. Sets are made for the documents of pairs alone."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
+    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    some = rows.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc", "left_semi")
+    sets = stored(some.mapInPandas(_sets(size), "doc long, tokens binary"), "sets")
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("left"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("right"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    return joined.mapInPandas(_verified(percent, classes, orders), "a long, b long")
+    return stored(joined.mapInPandas(_verified(percent, counts, orders), "a long, b long"), "links")
 
 
 def _cells(rows: DataFrame) -> DataFrame:
@@ -257,7 +282,7 @@ def _candidates(percent: int):
         label = np.array([r[5] for r in rows])
         n = np.array([r[6] for r in rows])
         side = np.array([r[3] for r in rows])
-        spread = np.stack([np.frombuffer(r[7], np.uint16) for r in rows])
+        spreads = np.stack([np.frombuffer(r[7], np.uint8) for r in rows])
         cross = rows[0][1] != rows[0][2]
         values, counts = np.unique(label, return_counts=True)
         usual = values[counts.argmax()]
@@ -270,8 +295,7 @@ def _candidates(percent: int):
             near = np.flatnonzero(may)
             if not len(near):
                 continue
-            most = np.minimum(spread[near], spread[i]).sum(1, dtype=np.int64)
-            for j in near[100 * most >= percent * (n[near] + n[i] - most)]:
+            for j in near[may_be_similar(n[near], spreads[near], n[i], spreads[i], percent)]:
                 yield (min(doc[i], doc[j]), max(doc[i], doc[j]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,50 +315,42 @@ def _candidates(percent: int):
     return run
 
 
-def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
+def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id``."""
-    spark = docs.sparkSession
     rows = docs.select(ids(ident).alias("doc"), F.col(text).cast("binary").alias("text"))
-    members = stored(rows.mapInPandas(_members(size), "doc long, n int, k1 long, k2 long"), "members")
-    classes_of = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("rep"))
-    members = stored(
-        members.join(classes_of, ["k1", "k2"], "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep")),
-        "classes",
-    )
-    crowd = spark.sparkContext.broadcast(crowd_classes(rows, size))  # CELLS bytes
-    shared = rows.mapInPandas(_prefixes(size, percent, crowd), "token long, doc long").repartition("token").sortWithinPartitions("token", "doc")
-    shared = stored(shared.mapInPandas(_shared, "token long, doc long"), "shared")
+    first = stored(rows.mapInPandas(_members(size), "doc long, n int, k1 long, k2 long, data binary, part int"), "members")
+    members = first.where("part < 0")
+    counts = docs.sparkSession.sparkContext.broadcast(cell_counts(first.where("part >= 0").select("part", "data")))
+    classes = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("least"))
+    rep = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("rep")
+    known = stored(members.join(classes, ["k1", "k2"], "left").select("doc", "n", rep), "classes")
+    bounds = members.select("doc", "n", F.col("data").alias("spread")).distinct()
+    reps = known.select("doc", "rep").distinct()
+
+    prefixes = rows.mapInPandas(_prefixes(size, percent, counts), "token long, doc long")
+    shared = stored(prefixes.repartition("token").sortWithinPartitions("token", "doc").mapInPandas(_shared, "token long, doc long"), "shared")
+
+    # Star round. Documents of one class are connected from the start.
     degree = shared.groupBy("doc").agg(F.count("*").alias("degree"))
-    sets = stored(
-        rows.join(degree.select("doc").hint("shuffle_hash"), "doc", "left_semi").mapInPandas(_sets(size), "doc long, n int, tokens binary, spread binary"),
-        "sets",
-    )
-
-    # Documents of one class are connected from the start.
-    reps = members.select("doc", "rep").distinct()
     labels = reps.groupBy("doc").agg(F.min("rep").alias("label"))
-    links = None
-    live = shared
-    for _ in range(rounds):
-        labelled = live.join(degree, "doc").join(labels, "doc").repartition("token").sortWithinPartitions("token", F.desc("degree"), "doc")
-        votes = labelled.select("token", "doc", "label").mapInPandas(_centres, "doc long, centre long").groupBy("doc", "centre").count()
-        best = votes.groupBy("doc").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("centre"))
-        pairs = best.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
-        new = stored(_links(pairs, sets, percent, crowd), "links")
-        links = new if links is None else links.union(new)
-        labels = stored(_labels(reps, links), "labels")
-        # Tokens whose documents are all connected have no more to tell.
-        open_tokens = live.join(labels, "doc").groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-        live = stored(live.join(open_tokens.hint("shuffle_hash"), "token", "left_semi"), "open")
-
-    cells = _cells(live.join(labels, "doc").select("token", "doc", "label"))
-    bounds = sets.select("doc", "n", "spread").distinct()
-    cells = cells.join(bounds, "doc").select("token", "low", "high", "side", "doc", "label", "n", "spread")
+    labelled = shared.join(degree.join(labels, "doc"), "doc").repartition("token").sortWithinPartitions("token", F.desc("degree"), "doc")
+    votes = labelled.select("token", "doc", "label").mapInPandas(_centres, "doc long, centre long").groupBy("doc", "centre").count()
+    best = votes.groupBy("doc").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("centre"))
+    pairs = best.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+    pairs = pairs.join(bounds.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("spread").alias("right")), "b")
+    pairs = pairs.join(bounds.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("spread").alias("left")), "a")
+    links = _links(stored(pairs.mapInPandas(_bounded(percent), "a long, b long"), "pairs"), rows, size, percent, counts)
+    labels = stored(_labels(reps, links), "labels")
+
+    # Exact round, over tokens whose documents are not all connected.
+    live = shared.join(labels, "doc")
+    opened = live.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+    live = stored(live.join(opened.hint("shuffle_hash"), "token", "left_semi").select("token", "doc", "label"), "open")
+    cells = _cells(live).join(bounds, "doc").select("token", "low", "high", "side", "doc", "label", "n", "spread")
     cells = cells.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     pairs = stored(cells.mapInPandas(_candidates(percent), "a long, b long").distinct(), "candidates")
-    links = links.union(stored(_links(pairs, sets, percent, crowd, ORDER_SEEDS[1:]), "links"))
-    final = _labels(reps, links)
-    return members.join(final, "doc").select(
+    links = links.union(_links(pairs, rows, size, percent, counts, ORDERS[1:]))
+    return known.join(_labels(reps, links), "doc").select(
         ids_back(F.col("doc")).alias(ident), F.col("n").cast("long").alias("n_shingles"), ids_back(F.col("label")).alias("component_id")
     )
 
