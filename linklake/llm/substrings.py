@@ -7,6 +7,9 @@ anchors, so a window whose anchor occurs once cannot repeat. Anchors that repeat
 extended to windows of twice the length, which are counted by 128-bit hashes. The
 doubling ends at ``length``: a longer repeated run is covered by its windows.
 
+Texts that occur more than once are settled first, by hashes of whole texts: they repeat
+from end to end, and one of them stands for all when other texts are judged.
+
 Rows travel as hashes and places. Counts are partial before the shuffle; the places
 are matched by a join whose hot keys adaptive execution splits.
 
@@ -27,10 +30,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linklake.llm.tables import stored
+from linklake.llm.tables import sized, stored
 from linklake.llm.words import covered, hashes, windows, words_of
 
 BATCH_ROWS = 200_000
+WHOLE = -1
 
 
 def anchor_places(word_hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,27 +116,33 @@ def _windows(length: int):
 
 
 def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> DataFrame:
-    """(row_key, places): where a window of ``length`` words starts that also starts elsewhere."""
+    """(row_key, places): where a window of ``length`` words starts that also starts elsewhere;
+    the place WHOLE stands for every one."""
     rows = _keys(docs, ident, text)
+    keyed = stored(rows.select("row_key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")), "texts")
+    copies = keyed.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("row_key").alias("first")).where("n > 1")
+    copies = stored(keyed.join(copies, ["t1", "t2"]).select("row_key", "first").distinct(), "copies")
+    others = stored(copies.where("row_key <> first").select("row_key"), "others")
+    rows = rows.join(sized(others), "row_key", "left_anti")
     anchors = rows.mapInPandas(_anchors(length), "h long, row_key long")
     # A run that is an anchor of one row only once may still repeat inside that row:
     # anchors are distinct places, so counting rows counts places.
     repeated = anchors.groupBy("h").count().where("count > 1").select("h")
-    found = (
+    found = stored(
         anchors.join(repeated.hint("shuffle_hash"), "h")
         .groupBy("row_key")
-        .agg(F.collect_set("h").alias("found"))  # bounded by one text's length
+        .agg(F.collect_set("h").alias("found")),  # bounded by one text's length
+        "anchors",
     )
+    some = rows.join(sized(found.select("row_key")), "row_key", "left_semi")
     level = stored(
-        rows.join(found.hint("shuffle_hash"), "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
+        some.join(found.hint("shuffle_hash"), "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
         "windows",
     )
     again = level.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    return (
-        level.join(again.hint("shuffle_hash"), ["h1", "h2"])
-        .groupBy("row_key")
-        .agg(F.collect_set("place").alias("places"))
-    )
+    places = level.join(again.hint("shuffle_hash"), ["h1", "h2"]).groupBy("row_key").agg(F.collect_set("place").alias("places"))
+    whole = copies.select("row_key", F.array(F.lit(WHOLE)).alias("places"))
+    return stored(places.join(whole.select("row_key"), "row_key", "left_anti").union(whole), "places")
 
 
 def _kept(text: bytes | None, places, length: int) -> tuple[list[bytes], int]:
@@ -140,6 +150,8 @@ def _kept(text: bytes | None, places, length: int) -> tuple[list[bytes], int]:
     words = words_of(text)
     if places is None or not len(places):
         return words, 0
+    if places[0] == WHOLE:
+        return ([], len(words)) if len(words) >= length else (words, 0)
     gone = covered(np.asarray(places, np.int64), length, len(words))
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g], int(gone.sum())
 
@@ -174,7 +186,11 @@ def _matched(docs: DataFrame, ident: str, text: str, length: int) -> DataFrame:
     """Every row (as ``row``) with its repeated places, or null."""
     places = repeated_places(docs, ident, text, length)
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(ident), F.col(text)).alias("row_key"))
-    return rows.join(places.hint("shuffle_hash"), "row_key", "left")
+    # Texts without a repeated place need no shuffle.
+    keys = sized(places.select("row_key"))
+    touched = rows.join(keys, "row_key", "left_semi").join(places.hint("shuffle_hash"), "row_key")
+    rest = rows.join(keys, "row_key", "left_anti").withColumn("places", F.lit(None).cast("array<int>"))
+    return touched.unionByName(rest)
 
 
 def removals(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 35) -> DataFrame:

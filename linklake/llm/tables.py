@@ -38,6 +38,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+BROADCAST_KEYS = 200_000  # keys at most that are sent to all tasks; more are joined by a shuffle
+
+
+def sized(keys: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """Keys (a stored table of a long) ready to join: broadcast if they are few, else hashed."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys.hint("shuffle_hash")
+
+
 NO_ID = -(1 << 63)  # stands for a null id inside tasks
 
 
