@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linklake.llm.components import component_labels
-from linklake.llm.tables import ids, ids_back, stored
+from linklake.llm.tables import ids, ids_back, sized, stored
 from linklake.llm.words import hashes, mixed, windows, words_of
 
 SHINGLE = 5
@@ -48,7 +48,6 @@ CELLS = 1 << CELL_BITS  # of the frequency sketch; its size never changes
 SLICE = 1 << 12
 ORDERS = ((0x51ED2701, 0), (0x2545F491, 4), (0x9E3779B1, 6))  # seed, and bits of a count left out
 BUCKETS = 128  # of the overlap bound
-BROADCAST_IDS = 200_000  # ids at most that are sent to all tasks; more are joined by a shuffle
 BLOCK = 4096  # documents of one token that meet in one task at a time
 _SEEN = 200_000
 
@@ -253,9 +252,7 @@ def _verified(percent: int, counts, orders: tuple[tuple[int, int], ...]):
 def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts, orders=()) -> DataFrame:
     """The pairs that are similar. Sets are made for the documents of pairs alone."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
-    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    some = rows.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc", "left_semi")
-    sets = stored(some.mapInPandas(_sets(size), "doc long, tokens binary"), "sets")
+    sets = stored(rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size), "doc long, tokens binary"), "sets")
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("left"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("right"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -342,9 +339,14 @@ def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size:
     links = _links(stored(pairs.mapInPandas(_bounded(percent), "a long, b long"), "pairs"), rows, size, percent, counts)
     labels = stored(_labels(reps, links), "labels")
 
-    # Exact round, over tokens whose documents are not all connected.
+    # Exact round, over tokens whose documents are not all connected. Of tokens that the
+    # same documents have, one will do: the others have the same pairs.
     live = shared.join(labels, "doc")
-    opened = live.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+    opened = live.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("doc")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("x2"),
+    )
+    opened = opened.where("low <> high").groupBy("n", "x1", "x2").agg(F.min("token").alias("token")).select("token")
     live = stored(live.join(opened.hint("shuffle_hash"), "token", "left_semi").select("token", "doc", "label"), "open")
     cells = _cells(live).join(bounds, "doc").select("token", "low", "high", "side", "doc", "label", "n", "spread")
     cells = cells.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
