@@ -14,6 +14,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ END_ID = 0
 BLOCK = 200_000
 SLACK = 8  # a bin with no more room than this counts as full
 FAN_IN = 8
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000  # twice as many at most, with those of the time before
 KEPT_LENGTH = 48
 FIELDS = ("doc", "piece", "start", "length", "ids_crc32")
 PIECE = "doc long, piece int, start long, length int, ids_crc32 long"
@@ -43,25 +44,66 @@ class WordIds(dict):
     """Word to the little-endian 32-bit ids of its tokens.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words in turn. Emptied when full, so memory stays bounded.
+    of its words in turn. It also lowers letters and parts them from marks, so a word's
+    ids follow from those of its plain form. What was not used since the table was last
+    full is forgotten, so memory stays bounded.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids if word else []
-        value = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = value
-        return value
+        self.older: dict[str, bytes] = {}
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = text.replace("\n", " ").split(" ")
+        missing = [w for w in set(words) if w not in self]
+        if missing:
+            self._learn(missing)
+        return b"".join(map(self.__getitem__, words))
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self) + len(words) > KEPT_WORDS:
+            self.older = {w: self[w] for w in self if len(w) <= KEPT_LENGTH}
+            self.clear()
+        plain = {w: _plain(w) for w in words}
+        self.update((w, self.older[w]) for w in plain if w in self.older)
+        forms = {form for w, (form, _) in plain.items() if w not in self}
+        self.update((f, self.older[f]) for f in forms if f in self.older)
+        forms = [f for f in forms if f not in self]
+        self._encode([f for f in forms if f.isalpha()])
+        for form in forms:
+            if form not in self:
+                self[form] = _packed_ids(self.tokenizer.encode(form, add_special_tokens=False).ids) if form else b""
+        for word, (form, mark) in plain.items():
+            if word not in self:
+                self[word] = self[form] + (self._mark(mark) if mark else b"")
+
+    def _encode(self, words: list[str]) -> None:
+        """Words of letters alone are one pre-token each, so many are encoded as one text."""
+        for at in range(0, len(words), 512):
+            own = words[at : at + 512]
+            found = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
+            parts: list[list[int]] = [[] for _ in own]
+            if found.word_ids and found.word_ids[-1] == len(own) - 1:
+                for i, word in zip(found.ids, found.word_ids, strict=True):
+                    parts[word].append(i)
+                self.update((w, _packed_ids(p)) for w, p in zip(own, parts, strict=True))
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self:
+            self[mark] = _packed_ids(self.tokenizer.encode(mark, add_special_tokens=False).ids)
+        return self[mark]
+
+
+def _plain(word: str) -> tuple[str, str]:
+    """A word's plain form, and the mark that follows it."""
+    form, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[:-1].isalpha() else (word, "")
+    return (form.lower() if form.isascii() else form), mark
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
