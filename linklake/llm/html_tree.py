@@ -302,6 +302,8 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen.add((node.key, parent, 1, xxhash.xxh3_64_intdigest(text.encode())))
                 waiting.extend((c, node.key) for c in kids if not c.noise)
             rows.extend((site, *row) for row in seen)
+        if not rows:
+            continue
         frame = pd.DataFrame(rows, columns=["site", "node", "parent", "kind", "shown"])
         for name in ("node", "parent", "shown"):
             frame[name] = frame[name].astype("uint64").to_numpy().view(np.int64)

@@ -13,7 +13,8 @@ failed attempts are never read. Names hold the attempt, so attempts do not meet.
 
 Edge cases: rows without an id share the id null, which counts as the smallest; null payloads are empty; a null address gives no target header; rows that share
 the smallest id of a payload are all responses; an empty table gives no archive and no
-record; too few records for training give an archive without a dictionary; other columns
+record; records that cannot be trained on give a dictionary of their
+plain content, fewer than 8 none; other columns
 are ignored.
 """
 
@@ -71,8 +72,9 @@ def record_bytes(page_id: int, url: str | None, payload: bytes, digest: str, ref
 def trained_dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples)
-    except zstandard.ZstdError:
-        return None
+    except zstandard.ZstdError:  # too few or too like: plain record content serves as one
+        raw = b"".join(samples)[-DICTIONARY_BYTES:]
+        return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(samples) > 7 else None
 
 
 def _located(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -221,7 +223,8 @@ def _read(payloads: bool):
                         if size >= 8 << 20:
                             yield _frame(rows, names)
                             rows, size = [], 0
-                yield _frame(rows, names)
+                if rows:
+                    yield _frame(rows, names)
 
     return run
 
