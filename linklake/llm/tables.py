@@ -46,7 +46,7 @@ def sized(keys: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys.hint("shuffle_hash")
 
 
-NO_ID = -(1 << 63)  # stands for a null id inside tasks
+NO_ID = 1 - (1 << 63)  # stands for a null id inside tasks
 
 
 def ids(name: str) -> Column:

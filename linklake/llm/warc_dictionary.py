@@ -107,7 +107,7 @@ class _Archive:
     def _begin(self) -> None:
         files, path = _located(self.uri)
         files.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        self.out = files.open_output_stream(path)
+        self.out = files.open_output_stream(path, compression=None)
         learned = trained_dictionary(self.waiting)
         if learned is not None:
             raw = learned.as_bytes()
@@ -215,7 +215,7 @@ def _read(payloads: bool):
             for uri in batch["path"]:
                 files, path = _located(uri)
                 rows, size = [], 0
-                with files.open_input_stream(path) as stream:
+                with files.open_input_stream(path, compression=None) as stream:
                     for raw in archive_records(stream):
                         row = _parsed(raw)
                         size += len(raw)
