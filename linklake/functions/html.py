@@ -4,7 +4,7 @@ One pattern runs over a page from left to right and stops at each anchor tag.
 Comments, declarations, script and style bodies and every other tag are passed over
 whole, so an anchor inside any of them is never seen. Loops over unbounded text are
 either over one character class or possessive: Java runs both without recursion, the
-first in a tight loop, so page length does not matter.
+first in a tight loop. What follows the last ">" is cut off first.
 """
 
 from __future__ import annotations
@@ -182,8 +182,12 @@ def anchor_hrefs(html: Column) -> Column:
     One small step after another over the array: what a step works out for an
     element is bound to the next one's variable and never worked out twice.
     """
+    # No tag ends after the last ">". Without that tail a page of unfinished tags has
+    # nothing the pattern could search to the end for, again and again.
+    tail = F.instr(F.reverse(html), ">")
+    closed = F.when(tail > 0, F.substring(html, F.lit(1), F.length(html) - tail + 1)).otherwise("")
     attributes = F.filter(
-        F.regexp_extract_all(html, F.lit(_NEXT_ANCHOR), F.lit(1)), lambda found: found != ""
+        F.regexp_extract_all(closed, F.lit(_NEXT_ANCHOR), F.lit(1)), lambda found: found != ""
     )
     written = F.filter(F.transform(attributes, _last_href), lambda href: href.isNotNull())
     values = F.transform(written, lambda href: F.regexp_extract(href, _HREF_VALUE, 1))

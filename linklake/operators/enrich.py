@@ -28,7 +28,8 @@ def with_host(sites: DataFrame) -> DataFrame:
 
 def add_country(sites: DataFrame, tlds: DataFrame) -> DataFrame:
     """``country_code`` from the last label of the host; null if unknown."""
-    lookup = tlds.select(F.col("tld").alias("_tld"), F.col("country_code").alias("_code"))
+    # One row a suffix, whatever the table holds, so no site is doubled.
+    lookup = tlds.groupBy(F.lower("tld").alias("_tld")).agg(F.min("country_code").alias("_code"))
     keyed = with_host(sites).withColumn("_label", urls.last_label(F.col("_host")))
     keyed = keyed.withColumn("_tld", urls.dotted(F.col("_label")))
     code = F.when(F.col("_label").isin(urls.US_SUFFIXES), F.lit("US")).otherwise(F.col("_code"))
@@ -99,8 +100,9 @@ def unknown_domains(domains: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def add_category(sites: DataFrame, categories: DataFrame) -> DataFrame:
-    """``category`` by full domain name, from ``domain, category`` (unique)."""
-    lookup = categories.select(F.col("domain").alias("_domain"), "category")
+    """``category`` by full domain name, from ``domain, category``; of several rows of
+    a domain the least category that is not null stands."""
+    lookup = categories.groupBy(F.lower("domain").alias("_domain")).agg(F.min("category").alias("category"))
     keyed = with_host(sites).withColumn("_domain", urls.fqdn(F.col("_host")))
     return keyed.join(lookup, "_domain", "left").drop("_domain", *_added(sites))
 

@@ -13,9 +13,8 @@ from linklake.operators.key_values import Hook, apply_hook, reduce_by_key
 from linklake.sinks.tables import save_table
 from linklake.sources import archives, tables
 
-# Default spread of inputs and outputs.
+# Fixed value: default spread of inputs.
 INPUT_PARTITIONS = 400
-OUTPUT_PARTITIONS = 10
 
 
 @dataclass
@@ -26,7 +25,7 @@ class Output:
     table_format: str = "parquet"
     compression: str = "gzip"
     options: Iterable[str] = ()
-    files: int | None = OUTPUT_PARTITIONS
+    files: int | None = None
     mode: str = "errorifexists"
 
     def save(self, rows: DataFrame) -> None:

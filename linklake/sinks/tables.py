@@ -46,7 +46,7 @@ def save_table(
     table_format: str = "parquet",
     compression: str = "gzip",
     options: Iterable[str] = (),
-    files: int | None = 10,
+    files: int | None = None,
     shuffle: bool = True,
     mode: str = "errorifexists",
 ) -> None:

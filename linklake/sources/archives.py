@@ -22,12 +22,9 @@ from linklake.sources.archive_bytes import failure, open_at, split_records, spli
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ARCHIVE_GLOB = "*.warc.gz"
-# Fixed value: what makes a path absolute.
-DATA_URL = r"^(s3|https?|file|hdfs):(?://([^/]*))?/(.*)"
+HAS_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/"
 BATCH_BYTES = 16 << 20
 STRETCH_BYTES = 256 << 20
-# Tasks of one stage the scheduler is asked for at most; beyond, each reads more.
-MAX_TASKS = 100_000
 BATCH_ROWS = 2000
 
 _HEADER_MAP = pa.map_(pa.string(), pa.string())
@@ -43,9 +40,9 @@ def resolve_path(path: Column, base_uri: str | None = None, local_base: str | No
     """Put the base before paths that have no scheme; with no base, relative
     local paths start at ``local_base``."""
     if base_uri:
-        return F.when(path.rlike(DATA_URL), path).otherwise(F.concat(F.lit(base_uri), path))
+        return F.when(path.rlike(HAS_SCHEME), path).otherwise(F.concat(F.lit(base_uri), path))
     if local_base:
-        relative = ~path.rlike(DATA_URL) & ~path.startswith("/")
+        relative = ~path.rlike(HAS_SCHEME) & ~path.startswith("/")
         return F.when(relative, F.concat(F.lit(local_base.rstrip("/") + "/"), path)).otherwise(path)
     return path
 
@@ -66,7 +63,7 @@ def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: in
     """
     if tasks is None:
         stretches = F.sum(F.ceil(F.col("file_bytes") / stretch_bytes))
-        tasks = min(max(paths.agg(stretches).first()[0] or 1, 1), MAX_TASKS)
+        tasks = max(paths.agg(stretches).first()[0] or 1, 1)
     number = F.explode(F.sequence(F.lit(0), F.floor((F.col("file_bytes") - 1) / stretch_bytes).cast("int")))
     cut = paths.where(F.col("file_bytes") > 0).select("warc_file", number.alias("stretch")).select(
         "warc_file",

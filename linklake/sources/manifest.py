@@ -39,12 +39,24 @@ def pick_first(lines: DataFrame, partition: str, count: int = 3) -> DataFrame:
     return archive_paths(lines, partition).orderBy("path").limit(count)
 
 
-def lines_with_prefix(lines: DataFrame, picks: DataFrame, count: int = 3) -> DataFrame:
-    """Lines that start with one of at most ``count`` picked paths.
+def lines_with_prefix(lines: DataFrame, picks: DataFrame) -> DataFrame:
+    """Lines that start with one of the picked paths, however many there are.
 
-    The picks are bounded by ``count``, so they go in as one array value and the
-    test is a plain filter on the scan of the lines: no join.
+    A line offers its beginnings of the lengths that picks have, as keys of one
+    semi-join. A pick that starts with another pick adds nothing and is left out, so
+    a line meets one pick at most. Only the distinct lengths reach the driver.
     """
-    prefixes = picks.select("path").limit(count).agg(F.collect_list("path")).scalar()
-    hit = F.exists("_prefixes", lambda prefix: F.startswith(F.col("value"), prefix))
-    return lines.withColumn("_prefixes", prefixes).where(hit).drop("_prefixes")
+    paths = picks.select("path").where(F.col("path").isNotNull()).distinct()
+    lengths = sorted(row[0] for row in paths.select(F.length("path")).distinct().collect())
+    if not lengths:
+        return lines.limit(0)
+
+    def beginnings(text: str, shorter: bool = False):
+        fits = (lambda n: F.length(text) > n) if shorter else (lambda n: F.length(text) >= n)
+        every = F.array(*map(F.lit, lengths))
+        return F.explode(F.transform(F.filter(every, fits), lambda n: F.substring(text, F.lit(1), n)))
+
+    keys = paths.select(F.col("path").alias("_key"))
+    longer = paths.select("path", beginnings("path", shorter=True).alias("_key")).join(keys, "_key", "left_semi")
+    least = paths.join(longer.select("path"), "path", "left_anti").select(F.col("path").alias("_key"))
+    return lines.withColumn("_key", beginnings("value")).join(least, "_key", "left_semi").select(*lines.columns)

@@ -1,7 +1,9 @@
 import html
 import random
+import time
 from html.parser import HTMLParser
 
+import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
@@ -91,3 +93,11 @@ def test_clean_link(spark):
     made = ["".join(random.Random(i).choices(' \n"\x00x\u3000', k=i % 5)) for i in range(2000)]
     kept = [bool(m.strip().translate({10: None, 13: None, 0: None, 34: None})) for m in made]
     assert column(spark, made + [None], has_clean_text(F.col("v"))) == kept + [False]
+
+
+@pytest.mark.parametrize("part", ["<b ", "<b x='", '<a href="x ', "<![CDATA[ x ", "<![if x ", "<!-- x ", "</b "])
+def test_unfinished_tags_take_linear_time(spark, part):
+    text = '<a href="http://a.com/p">x</a>' + part * (1_000_000 // len(part))
+    start = time.time()
+    assert column(spark, [text], page.anchor_links(F.col("v"))) == [["http://a.com/p"]]
+    assert time.time() - start < 4

@@ -26,4 +26,6 @@ def test_manifest(spark, tmp_path):
     assert sorted(r.value for r in kept.collect()) == sorted(
         [PATH.format(1, 1), PATH.format(1, 1) + ".extra", PATH.format(2, 2)]
     )
-    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+    nested = spark.createDataFrame([(PATH.format(n, n),) for n in range(1, 6)] + [(PATH.format(1, 1)[:-3],), (None,)], "path string")
+    assert manifest.lines_with_prefix(read, nested).count() == 7
+    assert manifest.lines_with_prefix(read, nested.limit(0)).count() == 0

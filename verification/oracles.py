@@ -219,7 +219,7 @@ select {_SITE.format('link')} as primary_link, count(*) as frequency from u grou
     "manifest_paths": f"with {_PATHS} select distinct path from m where path <> ''",
     "manifest_pick": f"with {_PATHS} select distinct path from m where path <> '' order by path limit 3",
     "manifest_prefix_semi": f"""
-with {_PATHS}, k as (select distinct path from m where path <> '' order by path limit 3)
+with {_PATHS}, k as (select distinct path from m where path <> '' order by path limit 7)
 select value from m where exists (select 1 from k where starts_with(m.value, k.path))
 """,
     "key_value_sum": """

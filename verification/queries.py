@@ -248,7 +248,7 @@ def manifest_pick(spark, sf_dir):
 
 def manifest_prefix_semi(spark, sf_dir):
     lines = inputs.rows(spark, sf_dir, "orders", inputs.MANIFEST)
-    return manifest.lines_with_prefix(lines, manifest.pick_first(lines, PARTITION))
+    return manifest.lines_with_prefix(lines, manifest.pick_first(lines, PARTITION, count=7))
 
 
 # --- jobs -----------------------------------------------------------------------
@@ -288,7 +288,7 @@ def selection_count(spark, sf_dir):
 def _output(spark, name: str) -> archive_job.Output:
     """A job's table under the shared working folder, with a name of its own."""
     folder = work_folder(spark, name)
-    return archive_job.Output(folder.rsplit("/", 1)[1].replace("-", "_"), options=[f"path={folder}"], files=None)
+    return archive_job.Output(folder.rsplit("/", 1)[1].replace("-", "_"), options=[f"path={folder}"])
 
 
 def _response_bytes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
