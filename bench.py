@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,6 +27,7 @@ def main() -> None:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     settings = {
         **RECOMMENDED,
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
         "spark.sql.shuffle.partitions": cpus,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -56,6 +57,7 @@ def main() -> int:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .config("spark.sql.shuffle.partitions", "8")
         .getOrCreate()
     )
