@@ -17,7 +17,8 @@ in the permutation of equals.
    no group, so none is lost.
 
 The overlap bound counts, per hash bucket, how many tokens two sets can have in common.
-Whole sets are made only for documents of pairs that pass it.
+Candidates are tried with few buckets first; those that pass, with buckets that grow with
+the set. Whole sets are joined only to pairs that pass both.
 
 Overlaps are counted on 64-bit shingle hashes.
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linklake.llm.components import component_labels
-from linklake.llm.tables import ids, ids_back, sized, stored
+from linklake.llm.tables import discard, ids, ids_back, sized, stored
 from linklake.llm.words import hashes, mixed, windows, words_of
 
 SHINGLE = 5
@@ -83,6 +84,26 @@ def spread(tokens: np.ndarray) -> np.ndarray:
     return np.full(BUCKETS, 255, np.uint8) if found.max(initial=0) > 254 else found.astype(np.uint8)
 
 
+def fine_spread(tokens: np.ndarray) -> np.ndarray:
+    """Tokens in each of two to four buckets a token; empty where one byte cannot tell."""
+    buckets = max(BUCKETS, 1 << (2 * len(tokens)).bit_length())
+    found = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return found.astype(np.uint8) if found.max() < 256 else np.empty(0, np.uint8)
+
+
+def finely_bounded(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether sets of these fine spreads can be similar. Buckets are low bits, so the finer
+    spread is folded to the other's."""
+    if not len(left) or not len(right):
+        return True
+    small, large = sorted((left, right), key=len)
+    if len(large) > len(small):
+        large = large.reshape(-1, len(small)).sum(0, dtype=np.int64)
+    most = int(np.minimum(small, large).sum(dtype=np.int64))
+    total = int(small.sum(dtype=np.int64)) + int(large.sum(dtype=np.int64))
+    return 100 * most >= percent * (total - most)
+
+
 def may_be_similar(n, spreads: np.ndarray, own_n, own_spread: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets can be similar, by their sizes and spreads (rows against one or rows)."""
     most = np.minimum(spreads, own_spread).sum(-1, dtype=np.int64)
@@ -184,7 +205,10 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _sets(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc": batch["doc"], "tokens": [shingle_set(text, size).tobytes() for text in batch["text"]]})
+            sets = [shingle_set(text, size) for text in batch["text"]]
+            yield pd.DataFrame({
+                "doc": batch["doc"], "fine": [fine_spread(t).tobytes() for t in sets], "tokens": [t.tobytes() for t in sets],
+            })
 
     return run
 
@@ -231,6 +255,20 @@ def _bounded(percent: int):
     return run
 
 
+def _finely_bounded(percent: int):
+    """Pairs whose fine spreads allow them to be similar."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            may = [
+                finely_bounded(np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8), percent)
+                for left, right in zip(batch["left"], batch["right"], strict=True)
+            ]
+            yield batch.loc[np.array(may, bool), ["a", "b"]]
+
+    return run
+
+
 def _verified(percent: int, counts, orders: tuple[tuple[int, int], ...]):
     """Pairs that meet in the prefixes of all given orders and are similar."""
 
@@ -249,21 +287,34 @@ def _verified(percent: int, counts, orders: tuple[tuple[int, int], ...]):
     return run
 
 
+def _docs_of(pairs: DataFrame) -> DataFrame:
+    return stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
+
+
+def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    left = sets.select(F.col("doc").alias("a"), F.col(column).alias("left"))
+    right = sets.select(F.col("doc").alias("b"), F.col(column).alias("right"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+
+
 def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts, orders=()) -> DataFrame:
-    """The pairs that are similar. Sets are made for the documents of pairs alone."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
-    sets = stored(rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size), "doc long, tokens binary"), "sets")
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("right"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    return stored(joined.mapInPandas(_verified(percent, counts, orders), "a long, b long"), "links")
+    """The pairs that are similar. Sets are made for the documents of pairs alone, and sent
+    for those of pairs that pass the fine bound."""
+    wanted = _docs_of(pairs)
+    sets = stored(rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size), "doc long, fine binary, tokens binary"), "sets")
+    near = stored(_with_both(pairs, sets, "fine").mapInPandas(_finely_bounded(percent), "a long, b long"), "near")
+    left = _docs_of(near)
+    joined = _with_both(near, sets.select("doc", "tokens").join(sized(left), "doc", "left_semi"), "tokens")
+    links = stored(joined.mapInPandas(_verified(percent, counts, orders), "a long, b long"), "links")
+    discard(wanted, sets, near, left)
+    return links
 
 
 def _cells(rows: DataFrame) -> DataFrame:
     """Rows with the block cells they meet in, so that no token holds a task alone."""
     crowded = rows.groupBy("token").count().where(F.col("count") > BLOCK)
-    crowded = crowded.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(crowded, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    crowded = stored(crowded.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "crowded")
+    rows = rows.join(sized(crowded), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("side", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select(
@@ -346,11 +397,14 @@ def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size:
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("doc")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("x2"),
     )
-    opened = opened.where("low <> high").groupBy("n", "x1", "x2").agg(F.min("token").alias("token")).select("token")
-    live = stored(live.join(opened.hint("shuffle_hash"), "token", "left_semi").select("token", "doc", "label"), "open")
+    opened = stored(opened.where("low <> high").groupBy("n", "x1", "x2").agg(F.min("token").alias("token")).select("token"), "opened")
+    # Stored first: a join with a table, not an aggregate, has its hot tokens split.
+    live = stored(live.join(sized(opened), "token", "left_semi").select("token", "doc", "label"), "open")
+    discard(shared, opened)
     cells = _cells(live).join(bounds, "doc").select("token", "low", "high", "side", "doc", "label", "n", "spread")
     cells = cells.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     pairs = stored(cells.mapInPandas(_candidates(percent), "a long, b long").distinct(), "candidates")
+    discard(live, first)
     links = links.union(_links(pairs, rows, size, percent, counts, ORDERS[1:]))
     return known.join(_labels(reps, links), "doc").select(
         ids_back(F.col("doc")).alias(ident), F.col("n").cast("long").alias("n_shingles"), ids_back(F.col("label")).alias("component_id")

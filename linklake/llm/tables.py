@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +29,42 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as soon as it has ended, not when the driver
+    next collects its garbage."""
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once under ``spark.checkpoint.dir`` and read again.
 
-    Later stages start from the files, so a lost executor costs only its own stage.
+    Later stages start from the files, so a lost executor costs only its own stage and no
+    shuffle of before is needed again.
     """
     spark = frame.sparkSession
     path = work_folder(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    with _shuffles_cleaned(spark):
+        frame.write.parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for frame in tables:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 BROADCAST_KEYS = 200_000  # keys at most that are sent to all tasks; more are joined by a shuffle
