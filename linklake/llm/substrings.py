@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linklake.llm.tables import sized, stored
+from linklake.llm.tables import discard, sized, stored
 from linklake.llm.words import covered, hashes, windows, words_of
 
 BATCH_ROWS = 200_000
@@ -127,9 +127,10 @@ def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> Data
     anchors = rows.mapInPandas(_anchors(length), "h long, row_key long")
     # A run that is an anchor of one row only once may still repeat inside that row:
     # anchors are distinct places, so counting rows counts places.
-    repeated = anchors.groupBy("h").count().where("count > 1").select("h")
+    # Stored first: a join with a table, not an aggregate, has its hot keys split.
+    repeated = stored(anchors.groupBy("h").count().where("count > 1").select("h"), "repeated")
     found = stored(
-        anchors.join(repeated.hint("shuffle_hash"), "h")
+        anchors.join(sized(repeated), "h")
         .groupBy("row_key")
         .agg(F.collect_set("h").alias("found")),  # bounded by one text's length
         "anchors",
@@ -139,10 +140,13 @@ def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> Data
         some.join(found.hint("shuffle_hash"), "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
         "windows",
     )
-    again = level.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    places = level.join(again.hint("shuffle_hash"), ["h1", "h2"]).groupBy("row_key").agg(F.collect_set("place").alias("places"))
+    discard(keyed, repeated, found)
+    again = stored(level.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "again")
+    places = level.join(sized(again), ["h1", "h2"]).groupBy("row_key").agg(F.collect_set("place").alias("places"))
     whole = copies.select("row_key", F.array(F.lit(WHOLE)).alias("places"))
-    return stored(places.join(whole.select("row_key"), "row_key", "left_anti").union(whole), "places")
+    places = stored(places.join(whole.select("row_key"), "row_key", "left_anti").union(whole), "places")
+    discard(copies, others, level, again)
+    return places
 
 
 def _kept(text: bytes | None, places, length: int) -> tuple[list[bytes], int]:
