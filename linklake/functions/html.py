@@ -176,6 +176,42 @@ def _unquoted(value: Column) -> Column:
     return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
+# Openers that ask for a closing mark further on, and that mark.
+_CLOSERS = (
+    (r"<!(?=--)", "<!--", rf"--[{_WS}]*>"),
+    (r"<!(?=\[(?i:temp|cdata|ignore|include|rcdata)(?![-_.a-zA-Z0-9]))", "<![", rf"\][{_WS}]*\][{_WS}]*>"),
+    (r"<!(?=\[(?i:if|else|endif)(?![-_.a-zA-Z0-9]))", "<![", rf"\][{_WS}]*>"),
+)
+_UNCLOSED = "<!\ufffe"  # a noncharacter, which no page holds
+
+
+def _measured(page: Column, start: str, closer: str) -> Column:
+    """The page, and how much to leave alone: up to the last closing mark, or all of it if
+    there is no opener."""
+    head = F.length(F.regexp_extract(page, rf"(?s)\A.*{closer}", 0))
+    size = F.when(F.contains(page, F.lit(start)), head).otherwise(F.length(page))
+    return F.struct(page.alias("page"), size.alias("size"))
+
+
+def _marked_after(found: Column, opener: str) -> Column:
+    page, size = found["page"], found["size"]
+    tail = F.regexp_replace(F.substring(page, size + 1, F.length(page)), opener, _UNCLOSED)
+    return F.concat(F.substring(page, F.lit(1), size), tail)
+
+
+def _marked(html: Column) -> Column:
+    """The page with a mark in each opener that nothing closes any more.
+
+    The pattern then takes it for a plain declaration at once. It would come to the same
+    after a search to the end of the page, from each of them.
+    """
+    pages = F.array(html)
+    for opener, start, closer in _CLOSERS:
+        found = F.transform(pages, lambda page: _measured(page, start, closer))  # noqa: B023
+        pages = F.transform(found, lambda page: _marked_after(page, opener))  # noqa: B023
+    return F.element_at(pages, 1)
+
+
 def anchor_hrefs(html: Column) -> Column:
     """All ``<a href>`` values of a page in page order, relative ones included.
 
@@ -186,9 +222,9 @@ def anchor_hrefs(html: Column) -> Column:
     # nothing the pattern could search to the end for, again and again.
     tail = F.instr(F.reverse(html), ">")
     closed = F.when(tail > 0, F.substring(html, F.lit(1), F.length(html) - tail + 1)).otherwise("")
-    attributes = F.filter(
-        F.regexp_extract_all(closed, F.lit(_NEXT_ANCHOR), F.lit(1)), lambda found: found != ""
-    )
+    found = F.transform(F.array(_marked(closed)), lambda page: F.regexp_extract_all(page, F.lit(_NEXT_ANCHOR), F.lit(1)))
+    attributes = F.filter(F.element_at(found, 1), lambda found: found != "")
+    attributes = F.transform(attributes, lambda found: F.replace(found, F.lit(_UNCLOSED), F.lit("<!")))
     written = F.filter(F.transform(attributes, _last_href), lambda href: href.isNotNull())
     values = F.transform(written, lambda href: F.regexp_extract(href, _HREF_VALUE, 1))
     return F.transform(F.transform(values, _unquoted), unescape)

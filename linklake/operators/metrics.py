@@ -1,6 +1,6 @@
 """Metric tables of an enriched site table.
 
-Metrics count sites. With ``weight="frequency"`` they sum link counts instead
+Metrics count sites, one row each. With ``weight="frequency"`` they sum link counts instead
 where a count of links makes sense.
 """
 
@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 TOP_COUNTRIES = 10
 
 
-def _sites(sites: DataFrame) -> DataFrame:
-    """One row a site: further parts of very big sites are left out."""
-    return sites.where(F.col("part") == 0) if "part" in sites.columns else sites
-
-
 def _amount(weight: str | None) -> Column:
     if weight is None:
         return F.count(F.lit(1))
@@ -25,17 +20,17 @@ def _amount(weight: str | None) -> Column:
 
 def category_coverage(sites: DataFrame) -> DataFrame:
     rate = F.try_divide(F.count("category"), F.count(F.lit(1)))
-    return _sites(sites).agg(rate.alias("non_null_category_rate"))
+    return sites.agg(rate.alias("non_null_category_rate"))
 
 
 def links_by_category(sites: DataFrame, weight: str | None = None) -> DataFrame:
-    counted = _sites(sites).groupBy("category").agg(_amount(weight).alias("link_count"))
+    counted = sites.groupBy("category").agg(_amount(weight).alias("link_count"))
     return counted.orderBy(F.desc("link_count"), "category")
 
 
 def top_countries(sites: DataFrame, count: int = TOP_COUNTRIES, weight: str | None = None) -> DataFrame:
     """The biggest countries other than US; unknown ones are not ranked."""
-    abroad = _sites(sites).where(F.col("country_code") != "US")
+    abroad = sites.where(F.col("country_code") != "US")
     counted = abroad.groupBy("country_code").agg(_amount(weight).alias("cnt"))
     return counted.orderBy(F.desc("cnt"), "country_code").limit(count)
 
@@ -43,12 +38,12 @@ def top_countries(sites: DataFrame, count: int = TOP_COUNTRIES, weight: str | No
 def ad_based_ratio(sites: DataFrame) -> DataFrame:
     """Ad sites over sites without a category; 0.0 if there are none."""
     ratio = F.try_divide(F.count_if("is_ad_domain"), F.count_if(F.col("category").isNull()))
-    return _sites(sites).agg(F.coalesce(ratio, F.lit(0.0)).alias("ad_domain_ratio"))
+    return sites.agg(F.coalesce(ratio, F.lit(0.0)).alias("ad_domain_ratio"))
 
 
 def ad_domain_by_country(sites: DataFrame) -> DataFrame:
     ratio = F.count_if("is_ad_domain") / F.count(F.lit(1))
-    return _sites(sites).groupBy("country_code").agg(ratio.alias("ad_based_ratio"))
+    return sites.groupBy("country_code").agg(ratio.alias("ad_based_ratio"))
 
 
 def compute_metrics(sites: DataFrame, weight: str | None = None) -> dict[str, DataFrame]:
@@ -57,6 +52,8 @@ def compute_metrics(sites: DataFrame, weight: str | None = None) -> dict[str, Da
     Each reads three narrow columns: give it a stored site table, or one that is
     persisted, to keep the work before it from running five times.
     """
+    if "part" in sites.columns:
+        raise ValueError("metrics take one row a site, not sites in parts")
     return {
         "category_coverage": category_coverage(sites),
         "links_by_category": links_by_category(sites, weight),

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from linklake.functions import urls
 
-# Subsections one row may hold. A site with more is spread over rows told apart
-# by ``part``; no subsection is lost.
-SUBSECTIONS_PER_ROW = 100_000
-
-
 def _cut(links: DataFrame) -> DataFrame:
     """Site and path of each link, which is cut up once into a column of its own."""
     parts = F.col("_parts")
@@ -66,32 +61,26 @@ def site_sections(links: DataFrame) -> DataFrame:
     )
 
 
-def site_table(links: DataFrame, subsections_per_row: int = SUBSECTIONS_PER_ROW) -> DataFrame:
-    """Sites with their link count and distinct subsections (null if none).
+def counts_of(sections: DataFrame) -> DataFrame:
+    """Links per site from links per site and subsection."""
+    return sections.groupBy("primary_link").agg(F.sum("links").alias("frequency"))
+
 
-    One row a site, ``part`` 0, unless it has more than ``subsections_per_row``
-    distinct subsections: then they are spread by hash over parts 0, 1, …, each
-    with the frequency of the whole site. Where sites are counted, take part 0.
+def site_table(links: DataFrame, parts: int | None = None) -> DataFrame:
+    """Sites with their link count and distinct subsections as an array (null if none).
+
+    One row a site. An array holds all of a site's paths in one task, so big inputs take
+    ``site_counts`` and ``site_sections``, or ask for ``parts``: then every site alike has its
+    subsections dealt by hash over as many rows (column ``part``; rows without links are
+    left out), each with the links it counts, which add up to the site's.
     """
+    keys = ["primary_link"]
     sections = site_sections(links)
-    big = (
-        sections.groupBy("primary_link")
-        .agg(F.sum("links").alias("total"), F.count("subsection").alias("distinct_sections"))
-        .where(F.col("distinct_sections") > subsections_per_row)
-        .select(
-            "primary_link",
-            "total",
-            F.ceil(F.col("distinct_sections") / subsections_per_row).cast("int").alias("parts"),
-        )
-    )
-    hashed = F.pmod(F.xxhash64("subsection"), F.col("parts"))
-    part = F.when(F.col("parts").isNull() | F.col("subsection").isNull(), F.lit(0)).otherwise(hashed)
+    if parts is not None:
+        part = F.coalesce(F.pmod(F.hash("subsection"), F.lit(parts)), F.lit(0))
+        sections = sections.withColumn("part", F.when(F.col("subsection").isNull(), 0).otherwise(part))
+        keys.append("part")
     collected = F.sort_array(F.collect_list("subsection"))
-    return (
-        sections.join(big, "primary_link", "left")
-        .groupBy("primary_link", part.cast("int").alias("part"))
-        .agg(
-            F.coalesce(F.max("total"), F.sum("links")).alias("frequency"),
-            F.when(F.size(collected) > 0, collected).alias("subsections"),
-        )
+    return sections.groupBy(*keys).agg(
+        F.sum("links").alias("frequency"), F.when(F.size(collected) > 0, collected).alias("subsections")
     )

@@ -12,6 +12,7 @@ from linklake.sinks.tables import write_metrics, write_sites
 from linklake.sources import archives, dimensions
 
 SITE_DATA_SET = "external_links.parquet"
+SECTION_DATA_SET = "external_link_sections.parquet"
 
 
 def archive_links(
@@ -36,7 +37,7 @@ def archive_links(
 def enriched_sites(
     links: DataFrame, tlds: DataFrame, categories: DataFrame, ad_hosts: DataFrame
 ) -> DataFrame:
-    """The main output: sites with subsections, country, category and ad flag."""
+    """Sites with country, category and ad flag, their subsections as arrays."""
     return enrich.enrich(sites.site_table(links), tlds, categories, ad_hosts)
 
 
@@ -56,9 +57,11 @@ def write_outputs(
     mode: str = "errorifexists",
     weight: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the site data set, then the five metric tables from it.
+    """Write links per site and subsection, the site data set from these, then the five
+    metric tables from that.
 
-    Metrics read three columns back from the written data set, two of them
+    Subsections are rows of a data set of their own (null: the home page), whatever the
+    size of a site, so none is gathered in one task. Metrics read three columns back from the written data set, two of them
     partition values, so no stage before the write runs again.
     """
     spark: SparkSession = links.sparkSession
@@ -67,7 +70,10 @@ def write_outputs(
     if hosts is None:
         hosts = spark.createDataFrame([], "host string")
     site_path = f"{output_folder}/{SITE_DATA_SET}"
-    table = enriched_sites(links, tlds, categories, hosts)
+    section_path = f"{output_folder}/{SECTION_DATA_SET}"
+    sites.site_sections(links).write.mode(mode).parquet(section_path)
+    counts = sites.counts_of(spark.read.parquet(section_path))
+    table = enrich.enrich(counts, tlds, categories, hosts)
     write_sites(table, site_path, mode)
     stored = spark.read.schema(table.schema).parquet(site_path)
     tables = metrics.compute_metrics(stored, weight)

@@ -101,3 +101,12 @@ def test_unfinished_tags_take_linear_time(spark, part):
     start = time.time()
     assert column(spark, [text], page.anchor_links(F.col("v"))) == [["http://a.com/p"]]
     assert time.time() - start < 4
+
+
+@pytest.mark.parametrize("part", ["<!-- x >", "<![CDATA[ x >", "<![if x >", "<b x='>", "<b >", "<a x >", "</b >", "<!-- <![if <![CDATA[ ]> "])
+def test_tags_that_nothing_closes_take_linear_time(spark, part):
+    text = '<a href="http://a.com/p">x</a>' + part * (1_000_000 // len(part)) + "'>" + '<a href="http://b.com/<!--q">y</a>'
+    start = time.time()
+    got = column(spark, [text], page.anchor_links(F.col("v")))
+    assert got == [["http://a.com/p", "http://b.com/<!--q"]]
+    assert time.time() - start < 6

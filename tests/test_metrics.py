@@ -1,6 +1,9 @@
+import pytest
+from pyspark.sql import functions as F
+
 from linklake.operators import metrics
 
-SCHEMA = "primary_link string, part int, frequency long, country_code string, category string, is_ad_domain boolean"
+SCHEMA = "primary_link string, frequency long, country_code string, category string, is_ad_domain boolean"
 
 
 def computed(spark, rows, weight=None):
@@ -9,8 +12,8 @@ def computed(spark, rows, weight=None):
 
 
 ROWS = [
-    ("a", 0, 5, "FR", "News", None), ("b", 0, 1, "FR", None, True), ("c", 0, 2, None, None, False),
-    ("d", 0, 3, "US", "News", None), ("e", 0, 9, "DE", None, True), ("e", 1, 9, "DE", None, True),
+    ("a", 5, "FR", "News", None), ("b", 1, "FR", None, True), ("c", 2, None, None, False),
+    ("d", 3, "US", "News", None), ("e", 9, "DE", None, True),
 ]
 
 
@@ -35,9 +38,15 @@ def test_empty_and_all_categorised(spark):
         "category_coverage": [(None,)], "links_by_category": [], "top_countries": [], "ad_based_ratio": [(0.0,)],
         "ad_domain_by_country": [],
     }
-    assert computed(spark, [("a", 0, 1, "FR", "News", None)])["ad_based_ratio"] == [(0.0,)]
+    assert computed(spark, [("a", 1, "FR", "News", None)])["ad_based_ratio"] == [(0.0,)]
 
 
 def test_ties_at_the_last_place(spark):
-    rows = [(f"s{i}", 0, 1, f"C{i:02d}", None, False) for i in range(15)]
+    rows = [(f"s{i}", 1, f"C{i:02d}", None, False) for i in range(15)]
     assert computed(spark, rows)["top_countries"] == [(f"C{i:02d}", 1) for i in range(10)]
+
+
+def test_sites_in_parts_are_refused(spark):
+    frame = spark.createDataFrame(ROWS, SCHEMA).withColumn("part", F.lit(0))
+    with pytest.raises(ValueError, match="one row a site"):
+        metrics.compute_metrics(frame)

@@ -38,7 +38,8 @@ def test_pipeline(spark, tmp_path):
         spark, str(tmp_path / "in"), str(tmp_path / "out"), categories, ad_hosts_file=str(tmp_path / "hosts")
     )
     table = spark.read.parquet(str(tmp_path / "out/external_links.parquet"))
-    got = {r.primary_link: (r.frequency, len(r.subsections), r.country_code, r.category, r.is_ad_domain) for r in table.collect()}
+    sections = spark.read.parquet(str(tmp_path / "out/external_link_sections.parquet")).groupBy("primary_link").agg(F.count("subsection").alias("n"))
+    got = {r.primary_link: (r.frequency, r.n, r.country_code, r.category, r.is_ad_domain) for r in table.join(sections, "primary_link").collect()}
     assert got == {
         "http://p0.com": (4, 4, "US", None, False), "http://p1.com": (4, 4, "US", None, False),
         "http://p2.com": (4, 4, "US", None, False), "http://t0.co.uk": (12, 12, "GB", "News", None),

@@ -215,6 +215,22 @@ select url, url as target_uri, 'response' as rec_type, md5(html) as digest from
     "warc_site_counts": f"""
 with {_ANCHORS}, u as (select url as link from a union all select unnest(links) as link from a)
 select {_SITE.format('link')} as primary_link, count(*) as frequency from u group by 1
+""",
+    "pipeline_sites": f"""
+with {_ANCHORS}, u as (select url as link from a union all select unnest(links) as link from a)
+select {_SITE.format('link')} as primary_link, count(*) as frequency from u group by 1
+""",
+    "pipeline_sections": f"""
+with {_ANCHORS}, u as (select url as link from a union all select unnest(links) as link from a)
+select {_SITE.format('link')} as primary_link, {_SECTION.format('link')} as subsection, count(*) as links from u group by 1, 2
+""",
+    "pipeline_metrics": f"""
+with {_ANCHORS}, u as (select url as link from a union all select unnest(links) as link from a),
+d as (select distinct {_SITE.format('link')} as site from u),
+t(tld, code) as (values {_TLDS})
+select code as country_code, count(*) as cnt
+from d join t on t.tld = regexp_extract(site, '(\\.[a-z]+)$', 1)
+where not regexp_matches(site, '\\.(com|org|net)$') and code <> 'US' group by code order by cnt desc, country_code limit 10
 """,
     "manifest_paths": f"with {_PATHS} select distinct path from m where path <> ''",
     "manifest_pick": f"with {_PATHS} select distinct path from m where path <> '' order by path limit 3",

@@ -95,8 +95,9 @@ def site_table(spark, sf_dir):
 
 
 def site_table_in_parts(spark, sf_dir):
-    table = sites.site_table(inputs.links(spark, sf_dir), subsections_per_row=4)
-    return table.select("primary_link", "frequency", F.explode("subsections").alias("subsection"))
+    links = inputs.links(spark, sf_dir)
+    table = sites.site_table(links, parts=4).select("primary_link", F.explode("subsections").alias("subsection"))
+    return table.join(sites.site_counts(links), "primary_link")
 
 
 def site_sections(spark, sf_dir):
@@ -234,6 +235,30 @@ def warc_site_counts(spark, sf_dir):
     return sites.site_counts(link_pipeline.archive_links(archives.list_archives(spark, folder)))
 
 
+def _pipeline_output(spark, sf_dir):
+    """A whole run over archives of the pages, to files."""
+    folder, _ = _archives(spark, sf_dir)
+    out = work_folder(spark, "pipeline")
+    tlds, categories, _ = _dimensions(spark, sf_dir)
+    link_pipeline.run(spark, folder, out, categories, tlds)
+    return out
+
+
+def pipeline_sites(spark, sf_dir):
+    table = spark.read.parquet(f"{_pipeline_output(spark, sf_dir)}/{link_pipeline.SITE_DATA_SET}")
+    return table.select("primary_link", "frequency")
+
+
+def pipeline_sections(spark, sf_dir):
+    table = spark.read.parquet(f"{_pipeline_output(spark, sf_dir)}/{link_pipeline.SECTION_DATA_SET}")
+    return table.select("primary_link", "subsection", "links")
+
+
+def pipeline_metrics(spark, sf_dir):
+    """The metric that lists countries, read back from its file."""
+    return spark.read.parquet(f"{_pipeline_output(spark, sf_dir)}/top_countries.parquet")
+
+
 # --- manifests ----------------------------------------------------------------
 
 
@@ -417,6 +442,9 @@ QUERIES = {
     "warc_in_stretches": warc_in_stretches,
     "warc_by_coordinates": warc_by_coordinates,
     "warc_site_counts": warc_site_counts,
+    "pipeline_sites": pipeline_sites,
+    "pipeline_sections": pipeline_sections,
+    "pipeline_metrics": pipeline_metrics,
     "manifest_paths": manifest_paths,
     "manifest_pick": manifest_pick,
     "manifest_prefix_semi": manifest_prefix_semi,
