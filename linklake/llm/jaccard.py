@@ -369,9 +369,10 @@ def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size:
     first = stored(rows.mapInPandas(_members(size), "doc long, n int, k1 long, k2 long, data binary, part int"), "members")
     members = first.where("part < 0")
     counts = docs.sparkSession.sparkContext.broadcast(cell_counts(first.where("part >= 0").select("part", "data")))
-    classes = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("least"))
+    classes = stored(members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc").alias("least")), "digests")
     rep = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("rep")
-    known = stored(members.join(classes, ["k1", "k2"], "left").select("doc", "n", rep), "classes")
+    known = stored(members.join(sized(classes), ["k1", "k2"], "left").select("doc", "n", rep), "classes")
+    discard(classes)
     bounds = members.select("doc", "n", F.col("data").alias("spread")).distinct()
     reps = known.select("doc", "rep").distinct()
 

@@ -121,7 +121,8 @@ def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> Data
     rows = _keys(docs, ident, text)
     keyed = stored(rows.select("row_key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")), "texts")
     copies = keyed.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.min("row_key").alias("first")).where("n > 1")
-    copies = stored(keyed.join(copies, ["t1", "t2"]).select("row_key", "first").distinct(), "copies")
+    copied = stored(copies.select("t1", "t2", "first"), "copied")
+    copies = stored(keyed.join(sized(copied), ["t1", "t2"]).select("row_key", "first").distinct(), "copies")
     others = stored(copies.where("row_key <> first").select("row_key"), "others")
     rows = rows.join(sized(others), "row_key", "left_anti")
     anchors = rows.mapInPandas(_anchors(length), "h long, row_key long")
@@ -140,7 +141,7 @@ def repeated_places(docs: DataFrame, ident: str, text: str, length: int) -> Data
         some.join(found.hint("shuffle_hash"), "row_key").mapInPandas(_windows(length), "h1 long, h2 long, row_key long, place int"),
         "windows",
     )
-    discard(keyed, repeated, found)
+    discard(keyed, copied, repeated, found)
     again = stored(level.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "again")
     places = level.join(sized(again), ["h1", "h2"]).groupBy("row_key").agg(F.collect_set("place").alias("places"))
     whole = copies.select("row_key", F.array(F.lit(WHOLE)).alias("places"))
