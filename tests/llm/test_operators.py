@@ -145,6 +145,19 @@ def test_jaccard_groups(docs):
     same(jaccard.components(docs).collect(), [(i, len(sets[i][0]), find(i)) for i, _ in rows])
 
 
+def test_jaccard_fine_bound_never_rules_out_a_similar_pair():
+    rng = np.random.default_rng(11)
+    passed = 0
+    for size in rng.integers(1, 3_000, 300).tolist():
+        own = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        other = np.unique(np.concatenate([own[: int(len(own) * rng.uniform(0.5, 1))], rng.integers(0, 2**63, int(size * rng.uniform(0, 0.4))).astype(np.uint64)]))
+        may = jaccard.finely_bounded(jaccard.fine_spread(own), jaccard.fine_spread(other), 75)
+        passed += may
+        assert may or not jaccard.similar(own, other, 75)
+    assert 0 < passed < 300
+    assert jaccard.finely_bounded(np.empty(0, np.uint8), jaccard.fine_spread(own), 75)
+
+
 def test_jaccard_overlap_bound_never_rules_out_a_similar_pair():
     rng = np.random.default_rng(1)
     for _ in range(300):
