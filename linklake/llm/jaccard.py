@@ -185,14 +185,17 @@ def _prefixes(size: int, percent: int, counts):
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by token, those whose token has another row."""
+    """Of rows sorted by token and document, each once, those whose token has another document."""
     held, held_before = None, False
     for batch in batches:
         token, doc = batch["token"].to_numpy(), batch["doc"].to_numpy()
-        if not len(token):
-            continue
         if held is not None:
             token, doc = np.concatenate([[held[0]], token]), np.concatenate([[held[1]], doc])
+        if not len(token):
+            continue
+        # A row repeated in another task, or under the same id, is the same document again.
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])])
+        token, doc = token[new], doc[new]
         same = token[1:] == token[:-1]
         keep = np.concatenate([[held_before], same]) | np.concatenate([same, [False]])
         held, held_before = (token[-1], doc[-1]), bool(same[-1]) if len(same) else held_before

@@ -145,6 +145,25 @@ def test_jaccard_groups(docs):
     same(jaccard.components(docs).collect(), [(i, len(sets[i][0]), find(i)) for i, _ in rows])
 
 
+def test_jaccard_groups_of_a_doubled_table(spark, tmp_path):
+    """Tight groups joined by a weak link, in a table that holds every row twice."""
+    rows = []
+    changed = {20, 60, 100, 140, 180, 210, 211, 212, 213}  # 33 of 236 shingles: 203 of 269 are common
+    for group in range(8):
+        base = [f"g{group}w{i}" for i in range(240)]
+        centre = [*base[:225], "centre", *base[226:]]  # shares most with all, but is not similar to ``other``
+        other = [f"{w}y" if i in changed else w for i, w in enumerate(base)]
+        for words in (centre, [*centre, f"end{group}"], base, other, [*other, f"last{group}"]):
+            rows.append((len(rows), " ".join(words)))
+    for _ in range(2):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "rows"))
+    files = sorted(str(p) for p in (tmp_path / "rows").glob("*.parquet"))
+    docs = spark.read.parquet(files[0]).union(spark.read.parquet(files[1]))
+    assert docs.rdd.getNumPartitions() > 1
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.components(docs).collect()}
+    assert found == {i: i - i % 5 for i, _ in rows}
+
+
 def test_jaccard_fine_bound_never_rules_out_a_similar_pair():
     rng = np.random.default_rng(11)
     passed = 0
