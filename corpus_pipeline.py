@@ -32,13 +32,15 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest id; of rows that share that
-    id, one."""
+    """Of each group of near duplicates the row with the smallest id, a null before all others.
+    Rows are known by their id and text, so rows that share an id are told apart; of rows that
+    are equal in both, one is kept."""
     ship(spark)
-    groups = jaccard.components(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    rows = docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(kept["kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    rows = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    groups = jaccard.components(rows, "row_key").select("row_key", "component_id").distinct()
+    own = rows.select("row_key", "doc_id").distinct().join(groups, "row_key")
+    kept = own.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key"))["row_key"].alias("row_key")).select("row_key")
+    return rows.join(kept.hint("shuffle_hash"), "row_key", "left_semi").dropDuplicates(["row_key"]).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

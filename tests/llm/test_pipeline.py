@@ -34,6 +34,18 @@ def test_stages_take_odd_rows(spark):
     assert len({r["doc_id"] for r in kept}) == len(kept) and {1, 2} <= {r["doc_id"] for r in kept}
 
 
+def test_near_duplicates_tells_rows_that_share_an_id_apart(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (5, text("a") + " x"), (9, text("b") + " x"), (7, text("d")), (7, text("e")), (7, text("e")), (8, text("f"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == COLUMNS
+    want = [(None, text("a")), (None, text("b")), (None, text("c")), (7, text("d")), (7, text("e")), (8, text("f"))]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_oracle(spark, name):
     frame = __spark_entry__.queries()[name](spark, FOLDER)
