@@ -1,8 +1,8 @@
 """Toxicity by weak supervision.
 
-1. *Voters.* Lexicons of whole words, word beginnings and word endings are mined from a
-   bounded sample of labelled rows: features that labelled toxic texts have and clean ones
-   hardly ever. Each lexicon is a voter (words are dealt over several); further voters look
+1. *Voters.* Lexicons of whole words, word beginnings and word endings are mined from all
+   labelled rows outside the held-out part: features that labelled toxic texts have and
+   clean ones hardly ever. Each lexicon is a voter (words are dealt over several); further voters look
    at patterns: several hits, dense hits, runs of exclamation marks, shouted words.
 2. *Label model.* Expectation-maximisation over the vote patterns of all rows estimates,
    for toxic and clean, how each voter votes given the voter it depends on most (a tree of
@@ -27,10 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MINING_ROWS = 12_000  # labelled rows at most that lexicons are mined from
+from linklake.llm.tables import discard, sized, stored
+
+FIRST_ROWS = 12_000  # clean rows that features are tried on before all are counted
+AT_ONCE = 100_000  # features at most that are counted over the clean rows at a time
 TRAINING_ROWS = 20_000  # rows at most that the classifier is trained on
 LEXICON_SIZE = 4_096  # features at most of all lexicons
 LEAST_SUPPORT = 6
@@ -46,6 +50,7 @@ _CORE = re.compile(r"\w+")
 _EXCLAIMS = re.compile(rb"!{3,}")
 _SHOUTS = re.compile(rb"\b[A-Z]{4,}\b")
 KEPT_WORDS = 300_000
+KEPT_FEATURES = 500_000
 
 
 def word_features(word: bytes) -> tuple[str, ...]:
@@ -64,27 +69,83 @@ def held_out(ident: Column) -> Column:
 
 
 def _mined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per task and feature: toxic and clean texts that have it."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    """Per task and feature: texts that have it."""
+    counts: Counter = Counter()
+
+    def flushed() -> pd.DataFrame:
+        found = pd.DataFrame({"feature": list(counts.keys()), "texts": list(counts.values())})
+        counts.clear()
+        return found
+
     for batch in batches:
-        for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+        for text in batch["text"]:
             words = set(text.split()) if text else ()
-            counts[int(toxic)].update({f for w in words for f in word_features(w)})
-    names = list(counts[0].keys() | counts[1].keys())
-    if names:
-        yield pd.DataFrame({"feature": names, "toxic": [counts[1][f] for f in names], "clean": [counts[0][f] for f in names]})
+            counts.update({f for w in words for f in word_features(w)})
+            if len(counts) >= KEPT_FEATURES:
+                yield flushed()
+    if counts:
+        yield flushed()
+
+
+def _hit(features: list[str]):
+    """The places of features that a text has, with the text's digest; nothing for texts without one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hits = _Hits({f: i for i, f in enumerate(features)})
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                places = sorted({p for w in set(text.split()) for p in hits[w]}) if text else []
+                if places:
+                    rows.append((xxhash.xxh3_128_digest(text), np.array(places, np.int32)))
+            yield pd.DataFrame(rows, columns=["digest", "places"])
+
+    return run
+
+
+def _texts_with(rows: DataFrame, name: str) -> DataFrame:
+    """Per feature: distinct texts of the rows that have it. Copies are one piece of evidence."""
+    counts = rows.select("text").distinct().mapInPandas(_mined, "feature string, texts long")
+    return counts.groupBy("feature").agg(F.sum("texts").alias(name))
+
 
+def lexicon(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", rows: int = FIRST_ROWS, at_once: int = AT_ONCE) -> list[str]:
+    """Features that mark toxic texts, from all labelled rows outside the held-out part.
 
-def lexicon(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", rows: int = MINING_ROWS) -> list[str]:
-    """Features that mark toxic texts, from at most ``rows`` labelled rows outside the held-out part."""
+    Features of enough toxic texts are tried on ``rows`` clean rows first, which rules out
+    those that are too common already there. The rest are counted over all clean rows,
+    ``at_once`` at a time from the best possible rank down, until no other can enter.
+    """
     known = labels.where(~held_out(F.col(ident)) & F.col("toxic").isNotNull())
-    known = known.select(ident, (F.col("toxic") == 1).cast("int").alias("toxic")).orderBy(F.xxhash64(ident), ident).limit(rows)
-    sample = docs.select(ident, F.col(text).cast("binary").alias("text")).join(F.broadcast(known), ident)  # rows ids at most
-    sample = sample.dropDuplicates(["text"]).select("text", "toxic")  # copies are one piece of evidence
-    counts = sample.mapInPandas(_mined, "feature string, toxic long, clean long")
-    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    good = counts.where((F.col("toxic") >= LEAST_SUPPORT) & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))))
-    return [r["feature"] for r in good.orderBy(F.desc(F.col("toxic") - 9 * F.col("clean")), "feature").limit(LEXICON_SIZE).collect()]
+    known = stored(known.select(ident, (F.col("toxic") == 1).alias("is_toxic")).distinct(), "known")
+    texts = docs.select(ident, F.col(text).cast("binary").alias("text"))
+    toxic = texts.join(sized(known.where("is_toxic").select(ident)), ident)
+    clean_ids = known.where("not is_toxic").select(ident)
+    clean = texts.join(sized(clean_ids), ident)
+    first = texts.join(F.broadcast(clean_ids.orderBy(F.xxhash64(ident), ident).limit(rows)), ident)  # rows ids at most
+    tried = _texts_with(toxic, "toxic").where(F.col("toxic") >= LEAST_SUPPORT).join(_texts_with(first, "clean"), "feature", "left")
+    tried = tried.select("feature", "toxic", F.coalesce("clean", F.lit(0)).alias("clean"))
+    tried = tried.where(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean")))
+    tried = stored(tried.select("feature", "toxic", (F.col("toxic") - 9 * F.col("clean")).alias("most")), "tried")
+    best: list[tuple[int, str]] = []
+    left = tried
+    while True:
+        chunk = left.orderBy(F.desc("most"), "feature").limit(at_once).collect()
+        if not chunk:
+            break
+        hits = clean.select("text").mapInPandas(_hit([r["feature"] for r in chunk]), "digest binary, places array<int>")
+        counts = hits.distinct().select(F.explode("places").alias("place")).groupBy("place").count().collect()
+        having = {r["place"]: r["count"] for r in counts}
+        for place, r in enumerate(chunk):
+            if r["toxic"] >= LEAST_PRECISION * (r["toxic"] + having.get(place, 0)):
+                best.append((9 * having.get(place, 0) - r["toxic"], r["feature"]))
+        best = sorted(best)[:LEXICON_SIZE]
+        last = chunk[-1]
+        if len(chunk) < at_once or (len(best) == LEXICON_SIZE and -best[-1][0] > last["most"]):
+            break
+        left = tried.where((F.col("most") < last["most"]) | ((F.col("most") == last["most"]) & (F.col("feature") > F.lit(last["feature"]))))
+    discard(known, tried)
+    return [feature for _, feature in best]
 
 
 class _Hits(dict):

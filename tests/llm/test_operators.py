@@ -243,6 +243,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert counts[0, True] <= 0.01 * counts[0, False]
 
 
+def test_lexicon_is_counted_over_all_labelled_rows(spark):
+    """Terms that few of many labelled rows have; copies of a text count once."""
+    ship(spark)
+    rows = [(i, f"plain text of row n{i} qqrare" if i % 50 == 0 else f"plain text of row n{i}", i % 50 == 0) for i in range(1_500)]
+    rows += [(2_000 + i, f"zzcopied {i % 2}", True) for i in range(30)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(toxic)) for i, _, toxic in rows], "doc_id long, toxic int")
+    whole = toxicity.lexicon(docs, labels)
+    assert "w qqrare" in whole and not {"w zzcopied", "w plain"} & set(whole)
+    assert toxicity.lexicon(docs, labels, rows=40) == whole and toxicity.lexicon(docs, labels, rows=40, at_once=3) == whole
+
+
 def test_toxicity_without_labels(edges, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     kept = toxicity.clean_rows(edges, labels)
