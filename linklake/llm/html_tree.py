@@ -224,17 +224,24 @@ def _shown(text: str) -> str:
 def _blocks(node: _Node, removed: frozenset[int] | set[int]) -> Iterator[tuple[_Node, str]]:
     """Texts between block boundaries, in page order, with the element they stand in."""
     parts: list[str] = []
-    for child in node.children:
-        if isinstance(child, str):
-            parts.append(child)
-            continue
-        if parts:
-            yield node, _shown("".join(parts))
-            parts = []
-        if not child.noise and child.key not in removed:
-            yield from _blocks(child, removed)
-    if parts:
-        yield node, _shown("".join(parts))
+    open_nodes = [(node, iter(node.children))]
+    while open_nodes:
+        node, children = open_nodes[-1]
+        for child in children:
+            if isinstance(child, str):
+                parts.append(child)
+                continue
+            if parts:
+                yield node, _shown("".join(parts))
+                parts = []
+            if not child.noise and child.key not in removed:
+                open_nodes.append((child, iter(child.children)))
+                break
+        else:
+            if parts:
+                yield node, _shown("".join(parts))
+                parts = []
+            open_nodes.pop()
 
 
 def _main(root: _Node) -> list[_Node]:
@@ -254,31 +261,10 @@ def _main(root: _Node) -> list[_Node]:
     return [root]
 
 
-def _depth_guarded(page: str) -> _Node:
-    """A tree no deeper than recursion allows: what lies deeper is lifted."""
-    root = parsed(page)
-    level, depth = [root], 0
-    while level:
-        depth += 1
-        if depth == 200:
-            for node in level:
-                flat, waiting = [], list(reversed(node.children))
-                while waiting:
-                    child = waiting.pop()
-                    if isinstance(child, str):
-                        flat.append(child)
-                    elif not child.noise:
-                        waiting.extend([" ", *reversed(child.children), " "])
-                node.children = flat
-            break
-        level = [c for n in level for c in n.children if isinstance(c, _Node)]
-    return root
-
-
 def main_text(page: str | None, removed=frozenset()) -> str:
     if not page:
         return ""
-    blocks = (text for part in _main(_depth_guarded(page)) for _, text in _blocks(part, removed))
+    blocks = (text for part in _main(parsed(page)) for _, text in _blocks(part, removed))
     return "\n\n".join(b for b in blocks if b)
 
 
@@ -291,7 +277,7 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for site, page in zip(batch["site"], batch["page"], strict=True):
-            seen, waiting = set(), [(_depth_guarded(page), 0)] if page else []
+            seen, waiting = set(), [(parsed(page), 0)] if page else []
             while waiting:
                 node, parent = waiting.pop()
                 kids = [c for c in node.children if isinstance(c, _Node)]

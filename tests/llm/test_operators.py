@@ -346,6 +346,13 @@ def test_site_tree_removes_what_every_page_has(spark):
     assert html_tree.with_text(pages).columns == pages.columns
 
 
+def test_deep_pages_keep_their_blocks():
+    for tag in ("div", "section", "center", "blockquote"):
+        deep = f"<{tag}>" * 3_000
+        assert html_tree.main_text(f"<p>one</p>{deep}<p>two</p><div class='promo'>x</div><p>three</p>") == "one\n\ntwo\n\nthree"
+        assert html_tree.main_text(f"<p>one</p>{deep}<article><p>two</p><p>three</p></article>") == "two\n\nthree"
+
+
 @pytest.mark.parametrize("part", ["<b ", "<b x='", '<a href="x ', "<![CDATA[ x ", "<!-- x ", "</b ", "<div>", "<p>", "</p>", "<li>", "<svg>"])
 def test_broken_pages_take_linear_time(part):
     import time
