@@ -13,7 +13,7 @@ enough pages to tell. What HTML itself or a class name declares to be menu, head
 sidebar, notice, advert, form or comment goes too, also where its text differs from page to
 page. What is left inside the page's article (its main part, or else its body) is the text.
 
-Only counts of hashed styles and texts are shuffled; a site's merged tree meets in one task
+Pages of a host with equal content count as one page. Only counts of hashed styles and texts are shuffled; a site's merged tree meets in one task
 after aggregation, one row a node.
 
 Edge cases: null and empty pages give an empty text; broken markup is read as far as it
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linklake.llm.tables import stored
+from linklake.llm.tables import sized, stored
 
 LEAST_PAGES = 8  # a host with fewer pages has no say
 LEAST_IMPORTANCE = 0.2
@@ -273,10 +273,11 @@ def host(url: Column) -> Column:
 
 
 def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What a page shows of each style node: kind 0 its child styles, kind 1 a text."""
+    """What a page shows of each style node: kind 0 its child styles, kind 1 a text. Copies
+    of a page have equal shares of one page."""
     for batch in batches:
         rows = []
-        for site, page in zip(batch["site"], batch["page"], strict=True):
+        for site, page, copies in zip(batch["site"], batch["page"], batch["copies"], strict=True):
             seen, waiting = set(), [(parsed(page), 0)] if page else []
             while waiting:
                 node, parent = waiting.pop()
@@ -287,10 +288,10 @@ def _observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if text:
                     seen.add((node.key, parent, 1, xxhash.xxh3_64_intdigest(text.encode())))
                 waiting.extend((c, node.key) for c in kids if not c.noise)
-            rows.extend((site, *row) for row in seen)
+            rows.extend((site, *row, 1 / copies) for row in seen)
         if not rows:
             continue
-        frame = pd.DataFrame(rows, columns=["site", "node", "parent", "kind", "shown"])
+        frame = pd.DataFrame(rows, columns=["site", "node", "parent", "kind", "shown", "share"])
         for name in ("node", "parent", "shown"):
             frame[name] = frame[name].astype("uint64").to_numpy().view(np.int64)
         yield frame
@@ -342,9 +343,14 @@ def _judged(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
 def low_branches(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(site, node): the branches to remove from each page of a site."""
     rows = pages.select(host(F.col(url)).alias("site"), F.col(page).alias("page"))
-    counts = rows.mapInPandas(_observed, "site string, node long, parent long, kind int, shown long")
-    counts = counts.groupBy("site", "node", "parent", "kind", "shown").agg(F.count("*").alias("k"))
-    sites = rows.groupBy("site").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    rows = rows.select("site", "page", F.xxhash64("page").alias("h1"), F.xxhash64(F.lit(1), "page").alias("h2"))
+    contents = stored(rows.groupBy("site", "h1", "h2").agg(F.count("*").alias("copies")), "contents")
+    rows = rows.join(sized(contents.where("copies > 1")), ["site", "h1", "h2"], "left")
+    rows = rows.select("site", "page", F.coalesce("copies", F.lit(1)).alias("copies"))
+    counts = rows.mapInPandas(_observed, "site string, node long, parent long, kind int, shown long, share double")
+    # The shares of a content's copies add up to one, so the sum is its number of distinct pages.
+    counts = counts.groupBy("site", "node", "parent", "kind", "shown").agg(F.round(F.sum("share")).cast("long").alias("k"))
+    sites = contents.groupBy("site").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
     k, kind = F.col("k"), F.col("kind")
     nodes = counts.groupBy("site", "node", "parent").agg(
         F.sum(F.when(kind == 0, k).otherwise(0)).alias("seen"),

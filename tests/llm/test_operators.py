@@ -353,6 +353,16 @@ def test_deep_pages_keep_their_blocks():
         assert html_tree.main_text(f"<p>one</p>{deep}<article><p>two</p><p>three</p></article>") == "two\n\nthree"
 
 
+def test_site_tree_counts_copies_once(spark):
+    ship(spark)
+    page = "<body><div><p>story {0}</p><p>more {0}</p></div></body>"
+    rows = [(i, "http://copies.com/", page.format("x")) for i in range(12)]
+    rows += [(20 + i, None, page.format(max(i, 8))) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_tree.extracted(pages).collect()}
+    assert found == {i: "story {0}\n\nmore {0}".format("x" if i < 20 else max(i - 20, 8)) for i, _, _ in rows}
+
+
 @pytest.mark.parametrize("part", ["<b ", "<b x='", '<a href="x ', "<![CDATA[ x ", "<!-- x ", "</b ", "<div>", "<p>", "</p>", "<li>", "<svg>"])
 def test_broken_pages_take_linear_time(part):
     import time
