@@ -5,7 +5,9 @@ packs its own pieces best-fit, longest first. Bins that are nearly full (``slack
 of room, or less than the shortest piece in sight) are final. The others travel as single items to fewer tasks,
 which pack them best-fit again, and so on up a tree until one group is left. A bin
 carries its pieces along; it never holds more than ``budget`` of them. A group larger
-than ``BLOCK`` items is packed in blocks, so memory does not grow with the data.
+than ``BLOCK`` items is packed in blocks, so memory does not grow with the data. Merging
+ends early only where the bins left need several blocks, the groups get no fewer and a level
+saved less than one bin in a hundred.
 
 Edge cases: a null id stays null; null and empty texts are one piece that holds only the end token; a text is
 cut only if it is longer than the budget; repeated rows are packed each for itself; an
@@ -212,6 +214,10 @@ def _placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def packed(rows: DataFrame, budget: int = BUDGET, fan_in: int = FAN_IN, slack: int = SLACK) -> DataFrame:
     """Pieces (columns of ``PIECE``) with ``sequence_id`` and ``offset``."""
+
+    def fewer(groups: int, waiting: int) -> int:
+        return max(-(-groups // fan_in), -(-waiting // BLOCK))
+
     level = 0
     bins = stored(rows.mapInPandas(_level(budget, slack, 0, False), BIN), "bins")
     done = [bins.where("final")]
@@ -219,13 +225,13 @@ def packed(rows: DataFrame, budget: int = BUDGET, fan_in: int = FAN_IN, slack: i
     waiting = bins.where("not final").count()
     while waiting:
         level += 1
-        groups = max(-(-groups // fan_in), -(-waiting // BLOCK))
+        groups = fewer(groups, waiting)
         last = groups == 1
         given = bins.where("not final").select("size", "members").repartition(groups)
         bins = stored(given.mapInPandas(_level(budget, slack, level, last), BIN), "bins")
         done.append(bins.where("final"))
         before, waiting = waiting, bins.where("not final").count()
-        if waiting > 0.99 * before:  # these fit with no others: they stay as they are
+        if waiting > 0.99 * before and fewer(groups, waiting) == groups:  # these meet few others they fit with: they stay
             done.append(bins.where("not final"))
             break
     every = done[0]

@@ -120,6 +120,14 @@ def test_packing(docs):
     assert len(places) <= -(-sum(w[3] for w in want) // 2048) + 1
 
 
+def test_few_small_bins_of_many_tasks_meet(spark):
+    ship(spark)
+    for count in (2, 3):
+        rows = spark.sparkContext.parallelize([(i, 0, 0, 100, 7) for i in range(count)], 25)
+        found = packing.packed(spark.createDataFrame(rows, packing.PIECE)).collect()
+        assert sorted(r["offset"] for r in found) == [100 * i for i in range(count)] and len({r["sequence_id"] for r in found}) == 1
+
+
 def test_best_fit_takes_the_tightest_bin():
     assert packing.best_fit([6, 5, 4, 3, 2], 10) == [[0, 2], [1, 3, 4]]
 
