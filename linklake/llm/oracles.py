@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this package that SQL can express.
 
-Learned verdicts (op3, op7), tokenizers (op1, op6, op10), markup (op2) and the pipeline
-have none; their tests use brute-force versions.
+Learned verdicts (op3, op7), tokenizers (op1, op6, op10), markup (op2), CRC-32 features (op11),
+rewritten texts (op12) and the pipeline have none; their tests use brute-force versions.
 """
 
 from __future__ import annotations
@@ -86,9 +86,49 @@ select t.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_removed,
 from t left join cut using (doc_id)
 """
 
+AUDIT = f"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents
+), w as (
+  select *, regexp_extract_all(text, {_WORD}) as words, min(doc_id) over (partition by text) as least from d
+), f as (
+  select doc_id, part,
+    cast(len(words) < 100 as int) + 2 * cast(100 * len(list_distinct(words)) < 80 * len(words) as int)
+    + 4 * cast(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) as int)
+    + 8 * cast(regexp_matches(text, '[#$%&*|]') as int) + 16 * cast(coalesce(doc_id > least, false) as int) as mask
+  from w
+), l as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+  from labels where doc_id is not null group by doc_id
+), c as (
+  select part, mask, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+  from f left join l using (doc_id) group by all
+), x as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([1, 2, 4, 8, 16]) as bit
+), o as (
+  select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from x a, x b, x c, x d, x e where a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    and len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), s as (
+  select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0) as before from o, unnest(range(1, 6)) as t(step)
+), r as (
+  select part, filter_order, step, n, good, toxic, mask, bit, mask & bit <> 0 as fails, mask & cast(before as int) <> 0 as gone from c, s
+)
+select part, filter_order, cast(step as int) as step,
+  cast(sum(case when not fails and not gone then n else 0 end) as bigint) as kept,
+  cast(sum(case when fails and not gone then n else 0 end) as bigint) as removed,
+  cast(sum(case when fails and gone then n else 0 end) as bigint) as redundant,
+  cast(sum(case when mask = bit then n else 0 end) as bigint) as unique_fails,
+  cast(sum(case when fails and not gone and good then n else 0 end) as bigint) as good_lost,
+  cast(sum(case when fails and not gone and toxic then n else 0 end) as bigint) as toxic_lost,
+  cast(sum(sum(case when fails and not gone then n else 0 end)) over (partition by part, bit) as bigint) as shapley
+from r group by part, filter_order, step, bit
+"""
+
 ORACLES = {
     "op4_warc_dictionary": WARC,
     "op5_mtree_top_k": TOP_K,
     "op8_ngram_jaccard": JACCARD,
     "op9_substring_dedup": SUBSTRINGS,
+    "op13_filter_audit": AUDIT,
 }

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linklake.llm import bpe, html_tree, jaccard, mtree, packing, quality, substrings, token_counts, toxicity, warc_dictionary
+from linklake.llm import (
+    bpe, filter_audit, html_tree, jaccard, mtree, packing, pii, quality, resampling, substrings, token_counts, toxicity, warc_dictionary,
+)
 from linklake.llm.tables import ship, stored, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -74,6 +76,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.line_counts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_pii_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, folder, "documents")))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,5 +99,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op1_byte_bpe, op2_site_style_tree, op3_quality_rules, op4_warc_dictionary, op5_mtree_top_k, op6_best_fit_packing, op7_toxicity, op8_ngram_jaccard, op9_substring_dedup, op10_token_counts)
+    for f in (
+        op1_byte_bpe, op2_site_style_tree, op3_quality_rules, op4_warc_dictionary, op5_mtree_top_k, op6_best_fit_packing, op7_toxicity,
+        op8_ngram_jaccard, op9_substring_dedup, op10_token_counts, op11_importance_resampling, op12_pii_deobfuscation, op13_filter_audit,
+    )
 }
