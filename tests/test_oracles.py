@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__
 from verification.compare import connect, differences
+from verification.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def base():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, base, name):
     assert differences(spark, base, FOLDER, name) is None
 

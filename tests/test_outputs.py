@@ -42,11 +42,11 @@ def test_link_table_appends(spark):
     assert "ReadSchema: struct<link:string>" in plan
 
 
-SITES = "primary_link string, part int, frequency long, subsections array<string>, country_code string, category string, is_ad_domain boolean"
+SITES = "primary_link string, frequency long, subsections array<string>, country_code string, category string, is_ad_domain boolean"
 
 
 def test_site_data_set_and_metrics(spark, tmp_path):
-    rows = [("a", 0, 1, ["/x"], "FR", None, True), ("b", 0, 2, None, None, "News", None), ("c", 0, 1, None, "NA", None, False)]
+    rows = [("a", 1, ["/x"], "FR", None, True), ("b", 2, None, None, "News", None), ("c", 1, None, "NA", None, False)]
     frame = spark.createDataFrame(rows, SITES)
     table_sink.write_sites(frame, str(tmp_path / "s"))
     back = spark.read.schema(frame.schema).parquet(str(tmp_path / "s"))
