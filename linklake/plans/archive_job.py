@@ -13,7 +13,7 @@ from linklake.operators.key_values import Hook, apply_hook, reduce_by_key
 from linklake.sinks.tables import save_table
 from linklake.sources import archives, tables
 
-# Fixed value: default spread of inputs.
+# Fixed value: default spread of picked records.
 INPUT_PARTITIONS = 400
 
 
@@ -61,17 +61,19 @@ def run_archive_job(
     schema: StructType = schemas.KEY_VALUE,
     reducer: Column | None = None,
     parse_http: bool = True,
-    partitions: int | None = INPUT_PARTITIONS,
+    partitions: int | None = None,
+    stretch_bytes: int = archives.STRETCH_BYTES,
 ) -> dict[str, int]:
     """Records of all archives in a list, through the hook, reduced by key, saved.
 
-    Unreadable archives are counted and passed over.
+    Tasks ask for the sizes of the listed archives first; these are then cut into byte
+    stretches, one task each unless ``partitions`` says how many. Unreadable archives are
+    counted and passed over; a damaged one counts once for each stretch it breaks.
     """
     counters = Counters()
-    paths = archives.archive_paths(spark, path_list, base_uri, local_base)
-    if partitions:
-        paths = paths.repartition(partitions)
-    records = archives.read_records(counters.watch_inputs(paths), parse_http=parse_http)
+    paths = counters.watch_inputs(archives.archive_paths(spark, path_list, base_uri, local_base))
+    cut = archives.cut_archives(archives.with_sizes(paths), stretch_bytes, partitions)
+    records = archives.read_records(cut, parse_http=parse_http)
     pairs = apply_hook(counters.watch_records(records), hook, schema)
     output.save(reduce_by_key(pairs, reducer))
     return counters.values()

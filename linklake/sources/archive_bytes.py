@@ -36,20 +36,12 @@ def open_at(uri: str, offset: int = -1, length: int = -1):
     """
     ranged = offset > -1 and length > 0
     if re.match(r"https?://", uri):
-        from urllib.request import Request, urlopen
-
-        span = {"Range": f"bytes={offset}-{offset + length - 1}"} if ranged else {}
-        return urlopen(Request(uri, headers=span), timeout=60)
-    if re.match(r"[a-z][a-z0-9+.-]*:", uri) and not uri.startswith("file:"):
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
-        stream = store.open_input_file(path)
+        return _open_web(uri, offset, length) if ranged else _asked(uri)
+    if _is_local(uri):
+        stream = open(_local_path(uri), "rb")
     else:
-        from urllib.parse import unquote
-
-        local = unquote(re.sub(r"^file:(//[^/]*)?", "", uri)) if uri.startswith("file:") else uri
-        stream = open(local, "rb")
+        store, path = _store(uri)
+        stream = store.open_input_file(path)
     if ranged:
         with stream:
             stream.seek(offset)
@@ -57,6 +49,97 @@ def open_at(uri: str, offset: int = -1, length: int = -1):
     return stream
 
 
+def _is_local(uri: str) -> bool:
+    return uri.startswith("file:") or not re.match(r"[a-z][a-z0-9+.-]*:", uri)
+
+
+def _local_path(uri: str) -> str:
+    from urllib.parse import unquote
+
+    return unquote(re.sub(r"^file:(//[^/]*)?", "", uri)) if uri.startswith("file:") else uri
+
+
+def _store(uri: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
+def _asked(uri: str, method: str = "GET", **headers: str):
+    from urllib.request import Request, urlopen
+
+    return urlopen(Request(uri, headers=headers, method=method), timeout=60)
+
+
+def _open_web(uri: str, offset: int, length: int):
+    """A byte range of a web resource. A server may ignore the range and send the whole
+    file, whose first record would be taken for the one asked for: that is an error."""
+    answer = _asked(uri, Range=f"bytes={offset}-{offset + length - 1}")
+    place = re.match(r"bytes (\d+)-(\d+)/", answer.headers.get("Content-Range") or "")
+    if answer.status != 206 or not place or int(place[1]) != offset or int(place[2]) >= offset + length:
+        answer.close()
+        raise OSError(f"no byte range: status {answer.status}, range {answer.headers.get('Content-Range')}")
+    return answer
+
+
+def read_range(uri: str, offset: int, length: int) -> bytes:
+    """The bytes of a range; fewer at the end of the file."""
+    from http.client import HTTPException
+
+    try:
+        with open_at(uri, offset, length) as stream:
+            return stream.read()
+    except HTTPException as problem:
+        raise OSError(f"{type(problem).__name__}: {problem}") from None
+
+
+def size_of(uri: str) -> int | None:
+    """Bytes of an archive, None if it cannot be told."""
+    import os
+
+    try:
+        if re.match(r"https?://", uri):
+            with _asked(uri, method="HEAD") as answer:
+                size = answer.headers.get("Content-Length")
+                return int(size) if size else None
+        if _is_local(uri):
+            return os.path.getsize(_local_path(uri))
+        store, path = _store(uri)
+        return store.get_file_info(path).size
+    except (OSError, ValueError):
+        return None
+
+
+# Ranges with no more between them are read together, up to so many bytes.
+JOIN_GAP = 256 << 10
+JOIN_BYTES = 16 << 20
+
+
+def joined_ranges(places, gap: int = JOIN_GAP, most: int = JOIN_BYTES):
+    """Neighbouring ranges of a file as one request each.
+
+    ``places``: (file, offset, length, row), sorted by file and offset. Gives (file, start,
+    length, [((offset, length), row)]) with start -1 for a place without a range, which
+    stands for the whole file. A range longer than ``most`` is a request of its own.
+    """
+    path, start, end, group = None, 0, 0, []
+    for file, offset, length, row in places:
+        ranged = offset > -1 and length > 0
+        joins = ranged and group and file == path and offset <= end + gap and max(end, offset + length) - start <= most
+        if group and not joins:
+            yield path, start, end - start, group
+            group = []
+        if not ranged:
+            yield file, -1, -1, [((offset, length), row)]
+        elif group:
+            end = max(end, offset + length)
+            group.append(((offset, length), row))
+        else:
+            path, start, end, group = file, offset, offset + length, [((offset, length), row)]
+    if group:
+        yield path, start, end - start, group
+
+
 class _Unpacked:
     """Unpacked bytes of a stream of gzip members (or of a plain stream)."""
 

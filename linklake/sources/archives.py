@@ -7,6 +7,7 @@ and handing back Arrow batches bounded by bytes.
 
 from __future__ import annotations
 
+import io
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linklake import schemas
-from linklake.sources.archive_bytes import failure, open_at, split_records, split_stretch
+from linklake.sources.archive_bytes import failure, joined_ranges, open_at, read_range, size_of, split_records, split_stretch
+from linklake.storage import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -54,24 +56,43 @@ def list_archives(spark: SparkSession, folder: str, glob: str = ARCHIVE_GLOB) ->
     return listing.select(F.col("path").alias("warc_file"), F.col("length").alias("file_bytes"))
 
 
+def with_sizes(paths: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Sizes of listed archives, asked for by tasks and stored once; null where an archive
+    cannot be found. Its one stretch then gives the row with the error."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0)
+            sizes = pa.array([size_of(name) for name in names.to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([names, sizes], names=["warc_file", "file_bytes"])
+
+    tasks = tasks or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = paths.select("warc_file").repartition(tasks)
+    return written(spread.mapInArrow(probe, "warc_file string, file_bytes bigint"), "archive-sizes")
+
+
+def stretches_of(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES) -> DataFrame:
+    """Archives of known size as byte stretches; one of unknown size is a single stretch."""
+    last = F.coalesce(F.floor((F.col("file_bytes") - 1) / stretch_bytes), F.lit(0)).cast("int")
+    number = F.col("stretch").cast("bigint")
+    cut = paths.where("file_bytes is null or file_bytes > 0").select(
+        "warc_file", "file_bytes", F.explode(F.sequence(F.lit(0), last)).alias("stretch")
+    )
+    end = F.when(F.col("file_bytes").isNull(), F.lit((1 << 63) - 1)).otherwise((number + 1) * stretch_bytes)
+    return cut.select("warc_file", "stretch", (number * stretch_bytes).alias("start"), end.alias("end"))
+
+
 def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: int | None = None) -> DataFrame:
-    """Listed archives cut into byte stretches and spread over tasks.
+    """Archives of known size cut into byte stretches and spread over tasks.
 
     However much of the data one file holds, a task reads stretches of about
-    ``stretch_bytes``. The task count follows from the sizes in the listing: one
+    ``stretch_bytes``. The task count follows from the sizes: one
     number, summed from metadata alone.
     """
     if tasks is None:
-        stretches = F.sum(F.ceil(F.col("file_bytes") / stretch_bytes))
+        stretches = F.sum(F.coalesce(F.ceil(F.col("file_bytes") / stretch_bytes), F.lit(1)))
         tasks = max(paths.agg(stretches).first()[0] or 1, 1)
-    number = F.explode(F.sequence(F.lit(0), F.floor((F.col("file_bytes") - 1) / stretch_bytes).cast("int")))
-    cut = paths.where(F.col("file_bytes") > 0).select("warc_file", number.alias("stretch")).select(
-        "warc_file",
-        "stretch",
-        (F.col("stretch").cast("bigint") * stretch_bytes).alias("start"),
-        ((F.col("stretch").cast("bigint") + 1) * stretch_bytes).alias("end"),
-    )
-    return cut.repartition(tasks, "warc_file", "stretch")
+    return stretches_of(paths, stretch_bytes).repartition(tasks, "warc_file", "stretch")
 
 
 def archive_paths(
@@ -168,7 +189,8 @@ def fetch_records(
     """Records found by file name, offset and length.
 
     Rows are spread by stretches of a file and sorted inside a task: reads run
-    forward, and a file that holds much of the rows is shared out by its stretches.
+    forward, neighbouring ranges are read by one request, and a file that holds much
+    of the rows is shared out by its stretches.
     The partition count is set, as the rows are tiny next to the work they stand
     for and would else be merged into few tasks. A declared charset travels as a
     column and in the record's headers.
@@ -194,28 +216,44 @@ def fetch_records(
         ("warc_file", pa.string()),
     ]
 
+    def opened(path: str, start: int, length: int, places: list[tuple[int, int]]) -> Iterator:
+        """A stream a place, all cut from one request; a file that is read whole has one place."""
+        if start < 0:
+            with open_at(path) as stream:
+                yield stream
+            return
+        content = memoryview(read_range(path, start, length))
+        for offset, size in places:
+            yield io.BytesIO(content[offset - start : offset - start + size])
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
+        def wanted_places():
             for batch in batches:
                 for row in batch.to_pylist():
-                    kept = tuple(row[name] for name, _ in carried)
                     offset, length = row["warc_record_offset"], row["warc_record_length"]
-                    offset = -1 if offset is None else offset
-                    length = -1 if length is None else length
-                    try:
-                        with open_at(row["warc_file"], offset, length) as stream:
-                            for record in split_records(stream, parse_http):
-                                record = list(record)
-                                if record[-1] is None:
-                                    record[1:3] = [offset, length] if length > 0 else record[1:3]
-                                    if has_charset and row[charset_column]:
-                                        record[6] = {
-                                            **record[6],
-                                            "warc-identified-content-charset": row[charset_column],
-                                        }
-                                yield (*kept, *record)
-                    except OSError as problem:
-                        yield (*kept, *failure(problem))
+                    yield row["warc_file"], -1 if offset is None else offset, -1 if length is None else length, row
+
+        def rows():
+            for path, start, total, group in joined_ranges(wanted_places()):
+                done = 0
+                try:
+                    for stream in opened(path, start, total, [place for place, _ in group]):
+                        (offset, length), row = group[done]
+                        kept = tuple(row[name] for name, _ in carried)
+                        for record in split_records(stream, parse_http):
+                            record = list(record)
+                            if record[-1] is None:
+                                record[1:3] = [offset, length] if length > 0 else record[1:3]
+                                if has_charset and row[charset_column]:
+                                    record[6] = {
+                                        **record[6],
+                                        "warc-identified-content-charset": row[charset_column],
+                                    }
+                            yield (*kept, *record)
+                        done += 1
+                except OSError as problem:
+                    for _, row in group[done:]:
+                        yield (*(row[name] for name, _ in carried), *failure(problem))
 
         yield from _packed(carried, rows())
 

@@ -57,8 +57,8 @@ def load_index(
     """
     reader = spark.read
     if schema_file is not None:
-        with open(schema_file, encoding="utf-8") as text:
-            reader = reader.schema(StructType.fromJson(json.load(text)))
+        text = spark.read.text(schema_file, wholetext=True).first()[0]
+        reader = reader.schema(StructType.fromJson(json.loads(text)))
     index = reader.parquet(path)
     index.createOrReplaceTempView(view)
     return index

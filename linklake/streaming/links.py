@@ -2,38 +2,88 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from linklake import schemas
+from linklake import schemas, storage
 from linklake.operators.anchors import page_anchors, page_links
 from linklake.operators.sites import site_counts
-from linklake.sources.archives import ARCHIVE_GLOB, read_records
+from linklake.sources.archives import ARCHIVE_GLOB, STRETCH_BYTES, cut_archives, read_records, stretches_of
 
 # Fixed value: how often collected links are written out.
 FLUSH_INTERVAL = "10 seconds"
+UNIT_BYTES = 64 << 30  # archive bytes that are committed together
+COMPACT_EVERY = 20  # batches of changes between two compactions
+SITE_COUNT = "primary_link string, frequency bigint"
+
+
+@dataclass(frozen=True)
+class Flush:
+    """When a batch is written out: after ``interval``, and with no more input than
+    ``max_files`` or ``max_bytes`` (one of the two; at least one file is taken)."""
 
+    interval: str = FLUSH_INTERVAL
+    max_files: int | None = None
+    max_bytes: int | None = None
 
-def _triggered(writer, available_now: bool):
-    if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=FLUSH_INTERVAL)
+    def admitting(self, reader):
+        if self.max_files is not None and self.max_bytes is not None:
+            raise ValueError("bound a batch by files or by bytes, not by both")
+        if self.max_files is not None:
+            return reader.option("maxFilesPerTrigger", self.max_files)
+        return reader if self.max_bytes is None else reader.option("maxBytesPerTrigger", self.max_bytes)
 
+    def triggered(self, writer, available_now: bool):
+        return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=self.interval)
 
-def new_archives(spark: SparkSession, folder: str, glob: str = ARCHIVE_GLOB) -> DataFrame:
-    """A stream of the paths of archives as they arrive."""
+
+def new_archives(spark: SparkSession, folder: str, glob: str = ARCHIVE_GLOB, flush: Flush = Flush()) -> DataFrame:
+    """A stream of the paths and sizes of archives as they arrive; no content is read."""
     stream = spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE)
-    return stream.option("pathGlobFilter", glob).load(folder).select(F.col("path").alias("warc_file"))
+    stream = flush.admitting(stream.option("pathGlobFilter", glob)).load(folder)
+    return stream.select(F.col("path").alias("warc_file"), F.col("length").alias("file_bytes"))
 
 
 def write_new_links(
-    paths: DataFrame, output: str, checkpoint: str, available_now: bool = False
+    paths: DataFrame,
+    output: str,
+    checkpoint: str,
+    available_now: bool = False,
+    stretch_bytes: int = STRETCH_BYTES,
+    unit_bytes: int = UNIT_BYTES,
+    flush: Flush = Flush(),
 ) -> StreamingQuery:
-    """Extract the links of arriving archives into Parquet, each archive once."""
-    links = page_links(page_anchors(read_records(paths, rec_types=("response",))))
-    writer = links.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    return _triggered(writer.outputMode("append"), available_now).start(output)
+    """Extract the links of arriving archives into Parquet, each link once.
+
+    A batch's archives are cut into byte stretches, so one big archive is read by many
+    tasks. The stretches are dealt over units of about ``unit_bytes``, and the plan is
+    stored with the checkpoint. A unit is written as a whole to a folder of its own,
+    ``batch_id=N/unit=K``. A batch that runs again keeps to the stored plan, passes over units
+    that are whole and writes the one that was broken off anew.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        spark, plan = batch.sparkSession, f"{checkpoint}/stretches/batch_id={number}"
+        if not storage.is_whole(spark, plan):
+            cut = stretches_of(batch, stretch_bytes)
+            units = max(1, -(-cut.count() * stretch_bytes // unit_bytes))
+            dealt = cut.withColumn("unit", F.pmod(F.xxhash64("warc_file", "stretch"), F.lit(units)))
+            dealt.write.mode("overwrite").parquet(plan)
+        planned = spark.read.parquet(plan)
+        sizes = {r["unit"]: r["count"] for r in planned.groupBy("unit").count().collect()}  # one row a unit
+        for unit, stretches in sorted(sizes.items()):
+            place = f"{output}/batch_id={number}/unit={unit}"
+            if storage.is_whole(spark, place):
+                continue
+            own = planned.where(F.col("unit") == unit).drop("unit").repartition(stretches, "warc_file", "stretch")
+            links = page_links(page_anchors(read_records(own, rec_types=("response",))))
+            links.write.mode("overwrite").parquet(place)
+
+    writer = paths.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    return flush.triggered(writer, available_now).start()
 
 
 def running_site_counts(links: DataFrame) -> DataFrame:
@@ -46,24 +96,64 @@ def running_site_counts(links: DataFrame) -> DataFrame:
 
 
 def write_site_counts(
-    links: DataFrame, output: str, checkpoint: str, available_now: bool = False
+    links: DataFrame,
+    output: str,
+    checkpoint: str,
+    available_now: bool = False,
+    compact_every: int = COMPACT_EVERY,
+    flush: Flush = Flush(),
 ) -> StreamingQuery:
-    """Keep changed site counts under ``output``, one folder a batch.
+    """Keep changed site counts under ``output``, one folder a batch, compacted from time to time.
 
     A batch that runs again after a failure overwrites its own folder, so every
     link counts once.
     """
 
     def store(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{output}/batch_id={batch}")
+        changed.write.mode("overwrite").parquet(f"{output}/changes/batch_id={batch}")
+        if (batch + 1) % compact_every == 0:
+            compact_site_counts(changed.sparkSession, output)
 
     writer = running_site_counts(links).writeStream.outputMode("update")
     writer = writer.option("checkpointLocation", checkpoint).foreachBatch(store)
-    return _triggered(writer, available_now).start()
+    return flush.triggered(writer, available_now).start()
+
+
+def _reached(spark: SparkSession, output: str) -> tuple[DataFrame, int]:
+    """The count each site has reached, and the last batch that is in it (-1: none).
+
+    Read are the newest base, whose version is the last batch in it, and the changes after.
+    """
+    known = storage.versions(spark, f"{output}/base")
+    mark = known[-1] if known else -1
+    later = [b for b in storage.numbered(spark, f"{output}/changes", "batch_id") if b > mark]
+    rows = spark.createDataFrame([], f"{SITE_COUNT}, batch_id bigint")
+    if known:
+        base = storage.read_version(spark, f"{output}/base", mark, SITE_COUNT)
+        rows = base.withColumn("batch_id", F.lit(mark).cast("bigint"))
+    if later:
+        folders = [f"{output}/changes/batch_id={b}" for b in later]
+        reader = spark.read.schema(f"{SITE_COUNT}, batch_id bigint").option("basePath", f"{output}/changes")
+        rows = rows.unionByName(reader.parquet(*folders))
+    counts = rows.groupBy("primary_link").agg(F.max_by("frequency", "batch_id").alias("frequency"))
+    return counts, max([mark, *later])
+
+
+def compact_site_counts(spark: SparkSession, output: str) -> None:
+    """Fold the changes so far into a new base, marked with the last batch in it.
+
+    Changes that the base before holds too are deleted with the bases older than that, so
+    what a reader has to open does not grow with the number of batches.
+    """
+    counts, mark = _reached(spark, output)
+    if mark < 0:
+        return
+    kept = storage.write_version(counts, f"{output}/base", mark)
+    for batch in storage.numbered(spark, f"{output}/changes", "batch_id"):
+        if len(kept) > 1 and batch <= kept[0]:
+            storage.delete(spark, f"{output}/changes/batch_id={batch}")
 
 
 def latest_site_counts(spark: SparkSession, output: str) -> DataFrame:
     """The count each site has reached."""
-    schema = "primary_link string, frequency bigint, batch_id bigint"
-    changes = spark.read.schema(schema).option("basePath", output).parquet(output)
-    return changes.groupBy("primary_link").agg(F.max_by("frequency", "batch_id").alias("frequency"))
+    return _reached(spark, output)[0]
