@@ -73,10 +73,26 @@ def _decode_declared(payload: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([text(p, c) for p, c in zip(payload, charset)], dtype="object")
 
 
+# Names of the charsets that are decoded without Python.
+UTF8_NAMES = ("utf-8", "utf8", "u8", "cp65001")
+LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "latin-1", "latin1", "l1", "8859", "cp819", "iso-ir-100")
+ASCII_NAMES = ("us-ascii", "ascii", "646", "ansi-x3.4-1968", "iso646-us")
+
+
 def decode_with_charset(payload: Column, charset: Column) -> Column:
-    """Text of a payload in its declared charset.
+    """Text of a payload in its declared charset; UTF-8 where none is declared or known.
 
-    The charset varies by row and the JVM knows only a few by name, so this one
-    goes through Arrow. Use ``decode_utf8`` where no charset is declared.
+    UTF-8, ISO-8859-1 and US-ASCII, nearly all of the web, are decoded by native
+    expressions; malformed bytes become U+FFFD. Only payloads in other charsets are handed to
+    Python: for all other rows it gets a null.
     """
-    return _decode_declared(payload, charset)
+    name = F.regexp_replace(F.lower(F.trim(charset)), "[_ ]", "-")
+    is_utf8 = charset.isNull() | (charset == "") | name.isin(*UTF8_NAMES)
+    latin1 = F.decode(payload, "ISO-8859-1")
+    is_native = is_utf8 | name.isin(*LATIN1_NAMES, *ASCII_NAMES)
+    return (
+        F.when(is_utf8, decode_utf8(payload))
+        .when(name.isin(*LATIN1_NAMES), latin1)
+        .when(name.isin(*ASCII_NAMES), F.regexp_replace(latin1, r"[^\x00-\x7f]", "\ufffd"))
+        .otherwise(_decode_declared(F.when(~is_native, payload), F.when(~is_native, charset)))
+    )

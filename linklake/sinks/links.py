@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linklake import storage
 from linklake.functions.text import clean_link, has_clean_text
 from linklake.sources.tables import LINK_TABLE
 
+IDS_A_LOAD = 1 << 40  # ids set aside for a load
+
 
 def link_line(link: Column) -> Column:
     """A link as its line in a link file: quoted when it holds a comma."""
@@ -37,15 +40,37 @@ def create_link_table(spark: SparkSession, table: str = LINK_TABLE, location: st
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {columns} USING parquet{place}")
 
 
+def _load_number(spark: SparkSession, table: str) -> int:
+    """A number that no other load of the table has, from empty files beside the table.
+
+    The next free one is claimed by making its file, which one of several loads achieves.
+    """
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    loads = f"{location.rstrip('/')}-loads"
+    taken = storage.names(spark, loads)
+    number = int(taken[-1]) + 1 if taken else 1
+    while not storage.claim(spark, f"{loads}/{number:09d}"):
+        number += 1
+    return number
+
+
 def append_links(links: DataFrame, table: str = LINK_TABLE) -> None:
     """Append the non-null links to the link table, made if it is missing.
 
-    Ids are unique and rise with each load; they are not dense.
+    A load has a range of ids of its own, ``IDS_A_LOAD`` from its number on, so loads at the same
+    time never share an id and no load looks at the rows of others. Inside it ids
+    are dense: rows are staged once with their place in a partition, and the sizes of the partitions
+    before do the rest. The append is one commit.
     """
     spark = links.sparkSession
     create_link_table(spark, table)
-    last = spark.table(table).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    rows = links.where(F.col("link").isNotNull()).select(
-        (F.monotonically_increasing_id() + F.lit(last + 1)).alias("id"), "link"
-    )
-    rows.write.insertInto(table)
+    kept = links.where(F.col("link").isNotNull()).select("link")
+    staged = storage.written(kept.select("link", F.monotonically_increasing_id().alias("place")), "staged-links")
+    part, inside = F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    offsets, first = [], _load_number(spark, table) * IDS_A_LOAD
+    for number, size in sorted(map(tuple, staged.groupBy(part).count().collect())):  # a row a partition
+        offsets.append((number, first))
+        first += size
+    before = F.broadcast(spark.createDataFrame(offsets, "part bigint, before bigint"))
+    rows = staged.withColumn("part", part).join(before, "part")
+    rows.select((F.col("before") + inside).alias("id"), "link").write.insertInto(table)
