@@ -153,6 +153,14 @@ select case when l_linenumber = 7 then concat(' ', chr(10), chr(9))
 from lineitem
 """
 
+# Links of which some are null, empty or no valid URL.
+ODD_LINKS = """
+select case when l_linenumber = 7 then null when l_linenumber = 6 then ''
+  when l_linenumber = 5 then concat('http://[s', cast(l_suppkey as varchar(20)), '/x')
+  else concat('http://s', cast(l_suppkey as varchar(20)), '.example.com/', l_returnflag) end as link
+from lineitem
+"""
+
 # Page URLs with characters that need encoding.
 ODD_URLS = """
 select page_id, concat(url, '') as plain_url,

@@ -83,6 +83,7 @@ union all
 select warc_file, record_pos, cast(pos as integer) as link_pos, links[pos] as link
 from (select *, unnest(generate_series(1, len(links))) as pos from {0}) where {1}
 """
+_ALL_LINKS = f"with {_ANCHORS}, u as (select url as link from a union all select unnest(links) as link from a)"
 _PATHS = f"""
 m as (select value, regexp_extract(value,
   'crawl-data/CC-MAIN-2025-13/segments/[0-9]+\\.[0-9]+/.*\\.warc\\.gz', 0) as path from ({inputs.MANIFEST}))
@@ -263,4 +264,61 @@ select count(*) as inputs, count(*) as records, cast(0 as bigint) as failed from
     "link_table_roundtrip": f"with {_PARTS} select link, 2 * count(*) as links from l group by link",
     "index_sql_select": inputs.INDEX_QUERY.replace("page_index", "pages"),
     "selection_count": f"select count(*) as matched from ({inputs.INDEX_QUERY.replace('page_index', 'pages')})",
+    "stream_archive_links": f"{_ALL_LINKS} select link, count(*) as links from u group by link",
+    "stream_counts_compacted": f"with {_SITES} select primary_link, frequency from s",
+    "category_cache_rounds": f"""
+with {_SITES}, {_CATEGORIES}, d as (select distinct regexp_extract(primary_link, '//(.*)$', 1) as domain from s)
+select d.domain, c.category, 1 as rounds_asked from d left join c using (domain)
+""",
+    "links_limited_early": "select cast(0 as bigint) as differences, true as stopped_early",
+    "listed_archives_cut": f"""
+select url as target_uri, md5(html) as digest, false as failed from ({inputs.HTML_PAGES})
+union all select null, null, true
+""",
+    "coordinates_csv": f"select url, url as target_uri, md5(html) as digest from ({inputs.HTML_PAGES})",
+    "hook_with_index_row": f"""
+select regexp_extract(url, '^([a-z]+)', 1) as scheme, true as placed, count(*) as records,
+  cast(sum(octet_length(encode(html))) as bigint) as bytes from ({inputs.HTML_PAGES}) group by 1
+""",
+    "job_with_own_schema": f"""
+select split_part(url, '/', 3) as host, cast(sum(octet_length(encode(html))) as double) as val
+from ({inputs.HTML_PAGES}) group by 1
+""",
+    "link_table_ids": """
+select unnest([1, 2]) as load, n as links, n as ids, n as span from (select count(*) as n from lineitem)
+""",
+    "links_of_several_folders": f"""
+with {_PARTS} select link, count(*) * case when link like 'https%' then 2 else 1 end as links from l group by link
+""",
+    "table_in_files": f"""
+with {_SITES} select true as few_files, count(*) as sites, cast(sum(frequency) as bigint) as links from s
+""",
+    "selection_used_twice": f"""
+select count(*) as matched, max(html_length) as longest from ({inputs.INDEX_QUERY.replace('page_index', 'pages')})
+""",
+    "manifest_from_file": f"with {_PATHS} select distinct path from m where path <> ''",
+    "odd_links_by_site": f"""
+with o as ({inputs.ODD_LINKS})
+select {_SITE.format('link')} as primary_link, count(*) as frequency from o where link like 'http://s%' group by 1
+union all select '(stored)', count(link) from o
+""",
+    "pipeline_metric_files": f"""
+{_ALL_LINKS}, {_CATEGORIES}, t(tld, code) as (values {_TLDS}),
+d as (select distinct {_SITE.format('link')} as site from u),
+e as (
+  select case when regexp_matches(site, '\\.(com|org|net)$') then 'US' else t.code end as country, c.category
+  from d left join t on t.tld = regexp_extract(site, '(\\.[a-z]+)$', 1)
+  left join c on c.domain = regexp_extract(site, '//(.*)$', 1))
+select 'category_coverage' as metric, cast(null as varchar) as key, count(category) / count(*) as value from e
+union all select 'links_by_category', category, cast(count(*) as double) from e group by category
+union all (select 'top_countries', country, cast(count(*) as double) from e where country <> 'US'
+  group by country order by count(*) desc, country limit 10)
+union all select 'ad_based_ratio', null, 0.0
+union all select 'ad_domain_by_country', country, 0.0 from e group by country
+""",
+    "payload_charsets": """
+select doc_id, md5(case doc_id % 5 when 0 then concat(text, chr(65533), chr(65533))
+  when 2 then regexp_replace(text, '[^\\x00-\\x7f]', repeat(chr(65533), 2), 'g') else text end) as digest
+from documents
+""",
 }

@@ -22,6 +22,7 @@ from linklake.sources import archives, dimensions, manifest, tables
 from linklake.streaming import links as streams
 from verification import inputs
 from verification.archive_files import write_archives
+from verification.job_queries import JOB_QUERIES
 
 # The record hook below travels with the job, wherever the driver was started.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -232,7 +233,8 @@ def warc_by_coordinates(spark, sf_dir):
 
 def warc_site_counts(spark, sf_dir):
     folder, _ = _archives(spark, sf_dir)
-    return sites.site_counts(link_pipeline.archive_links(archives.list_archives(spark, folder)))
+    cut = archives.cut_archives(archives.list_archives(spark, folder))
+    return sites.site_counts(link_pipeline.archive_links(cut))
 
 
 def _pipeline_output(spark, sf_dir):
@@ -461,4 +463,5 @@ QUERIES = {
     "link_file_roundtrip": link_file_roundtrip,
     "partitioned_sink_roundtrip": partitioned_sink_roundtrip,
     "stream_site_frequency": stream_site_frequency,
+    **JOB_QUERIES,
 }
