@@ -16,6 +16,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ END_ID = 0
 BLOCK = 200_000
 SLACK = 8  # a bin with no more room than this counts as full
 FAN_IN = 8
-KEPT_WORDS = 800_000  # twice as many at most, with those of the time before
+KEPT_WORDS = 200_000  # some 45 MB; twice as many at most, with those of the time before
 KEPT_LENGTH = 48
 FIELDS = ("doc", "piece", "start", "length", "ids_crc32")
 PIECE = "doc long, piece int, start long, length int, ids_crc32 long"
@@ -43,72 +44,69 @@ BIN = "final boolean, size int, number long, members array<long>"  # members: FI
 
 
 class WordIds(dict):
-    """Word to the little-endian 32-bit ids of its tokens.
-
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words in turn. It also lowers letters and parts them from marks, so a word's
-    ids follow from those of its plain form. What was not used since the table was last
-    full is forgotten, so memory stays bounded.
+    """Piece of a text to the little-endian 32-bit ids of its tokens.
+
+    The tokenizer lowers letters, drops white space, and merges inside runs of letters, single
+    digits and runs of other signs only. In a text of Latin-1 characters these runs are
+    found by one pattern and handed to the merges directly. In other texts that is done
+    for each word that can be written so, and every other word is encoded by the whole tokenizer.
+    What was not used since the table was last full is forgotten, so memory stays
+    bounded; a run that is missing is worked out when it is asked for.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.older: dict[str, bytes] = {}
+        # Only for a tokenizer that cuts texts in this way is the short way right.
+        self.short = all(self._short(probe) == self._encoded(probe) for probe in _PROBES)
 
     def of(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        missing = [w for w in set(words) if w not in self]
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.__getitem__, words))
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self) + len(words) > KEPT_WORDS:
-            self.older = {w: self[w] for w in self if len(w) <= KEPT_LENGTH}
-            self.clear()
-        plain = {w: _plain(w) for w in words}
-        self.update((w, self.older[w]) for w in plain if w in self.older)
-        forms = {form for w, (form, _) in plain.items() if w not in self}
-        self.update((f, self.older[f]) for f in forms if f in self.older)
-        forms = [f for f in forms if f not in self]
-        self._encode([f for f in forms if f.isalpha()])
-        for form in forms:
-            if form not in self:
-                self[form] = _packed_ids(self.tokenizer.encode(form, add_special_tokens=False).ids) if form else b""
-        for word, (form, mark) in plain.items():
-            if word not in self:
-                self[word] = self[form] + (self._mark(mark) if mark else b"")
-
-    def _encode(self, words: list[str]) -> None:
-        """Words of letters alone are one pre-token each, so many are encoded as one text."""
-        for at in range(0, len(words), 512):
-            own = words[at : at + 512]
-            found = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
-            parts: list[list[int]] = [[] for _ in own]
-            if found.word_ids and found.word_ids[-1] == len(own) - 1:
-                for i, word in zip(found.ids, found.word_ids, strict=True):
-                    parts[word].append(i)
-                self.update((w, _packed_ids(p)) for w, p in zip(own, parts, strict=True))
-
-    def _mark(self, mark: str) -> bytes:
-        if mark not in self:
-            self[mark] = _packed_ids(self.tokenizer.encode(mark, add_special_tokens=False).ids)
-        return self[mark]
-
-
-def _plain(word: str) -> tuple[str, str]:
-    """A word's plain form, and the mark that follows it."""
-    form, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[:-1].isalpha() else (word, "")
-    return (form.lower() if form.isascii() else form), mark
+        if self._is_plain(text):
+            return self._short(text)
+        return b"".join(map(self._word, text.replace("\n", " ").split(" ")))
+
+    def _word(self, word: str) -> bytes:
+        return self._short(word) if self._is_plain(word) else self._encoded(word)
+
+    def _is_plain(self, text: str) -> bool:
+        """May the short way be taken? "<|" may begin a special token."""
+        return self.short and "<|" not in text and _LATIN.fullmatch(text) is not None
+
+    def _short(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, _RUNS.findall(text.lower())))
+
+    def __missing__(self, run: str) -> bytes:
+        found = self.older.get(run)
+        if found is None:
+            shown = run.encode().decode("latin-1").translate(_SHOWN)
+            found = _packed_ids([token.id for token in self.model.tokenize(shown)])
+        if len(run) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[run] = found
+        return found
+
+    def _encoded(self, word: str) -> bytes:
+        return _packed_ids(self.tokenizer.encode(word, add_special_tokens=False).ids) if word else b""
+
+
+# Latin-1 without the control characters that parts of the tokenizer see differently.
+_LATIN = re.compile(r"[\x00-\x1b\x20-\xff]*")
+_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\s0-9a-zªµºß-öø-ÿ²³¹¼½¾]+")
+_PROBES = ("Probe, probe.", "ÜberprÜft's é² 10½ ## x", "ÉTÉ\tµ\xa0ª…".replace("…", "!?"))
+# Bytes are shown to the merges as characters: those that print stand for themselves, the
+# others for the code points from 256 on, in order.
+_SHOWN = dict(zip((b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)), range(256, 512)))
 
 
 def _packed_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000  # some 20 MB a worker, which keeps it from task to task
 LANES = (
     (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)),
     (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)),

@@ -99,7 +99,6 @@ def test_quality_model_trusts_rules_by_their_votes():
 
 def test_packing(docs):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     rows = packing.sequences(docs, WORDS).collect()
     want = []
     for i, t in texts_of(docs):
