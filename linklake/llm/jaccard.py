@@ -12,9 +12,13 @@ in the permutation of equals.
 3. A star round joins the bulk: every document is compared with one partner, the one
    with which it shares most prefix tokens.
 4. Exact round: between documents that are not yet connected, all pairs that share a
-   prefix token and pass size and overlap bounds are candidates; those whose prefixes
-   also meet under the other orders are verified. Links inside a connected group change
-   no group, so none is lost.
+   prefix token and pass size and overlap bounds are candidates. A pair is given out by the
+   least of its common tokens and passed over by the others. Links inside a connected
+   group change no group, so none is lost.
+
+In both rounds a pair goes on only if its prefixes meet under the other orders too. These prefixes
+are worked out once for each document of a pair and joined to the pairs by themselves;
+whole sets are joined to what is left.
 
 The overlap bound counts, per hash bucket, how many tokens two sets can have in common.
 Candidates are tried with few buckets first; those that pass, with buckets that grow with
@@ -39,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linklake.llm.components import component_labels
-from linklake.llm.tables import discard, ids, ids_back, sized, stored
+from linklake.llm.tables import BROADCAST_KEYS, discard, ids, ids_back, sized, stored
 from linklake.llm.words import hashes, mixed, windows, words_of
 
 SHINGLE = 5
@@ -49,7 +53,8 @@ CELLS = 1 << CELL_BITS  # of the frequency sketch; its size never changes
 SLICE = 1 << 12
 ORDERS = ((0x51ED2701, 0), (0x2545F491, 4), (0x9E3779B1, 6))  # seed, and bits of a count left out
 BUCKETS = 128  # of the overlap bound
-BLOCK = 4096  # documents of one token that meet in one task at a time
+BLOCK = 512  # documents of one token that meet in one task at a time
+EARLIER = 64  # least open tokens of a document that travel with each of its rows
 _SEEN = 200_000
 
 
@@ -205,17 +210,28 @@ def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"token": [held[0]], "doc": [held[1]]})
 
 
-def _sets(size: int):
+def _sets(size: int, percent: int, counts):
+    """Sets with their fine spreads and, one after the other, their prefixes under the further orders."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(text, size) for text in batch["text"]]
             yield pd.DataFrame({
-                "doc": batch["doc"], "fine": [fine_spread(t).tobytes() for t in sets], "tokens": [t.tobytes() for t in sets],
+                "doc": batch["doc"],
+                "fine": [fine_spread(t).tobytes() for t in sets],
+                "further": [b"".join(prefix(t, counts.value, o, percent).tobytes() for o in ORDERS[1:]) for t in sets],
+                "tokens": [t.tobytes() for t in sets],
             })
 
     return run
 
 
+def meet(left: bytes, right: bytes) -> bool:
+    """Do prefixes meet under every further order?"""
+    sides = (np.frombuffer(side, np.uint64).reshape(len(ORDERS) - 1, -1) for side in (left, right))
+    return all(len(np.intersect1d(a, b, True)) for a, b in zip(*sides, strict=True))
+
+
 def _centres(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of rows sorted by token and falling degree: each document with the token's first
     document of another group."""
@@ -258,34 +274,29 @@ def _bounded(percent: int):
     return run
 
 
-def _finely_bounded(percent: int):
-    """Pairs whose fine spreads allow them to be similar."""
+def _filtered(percent: int):
+    """Pairs whose prefixes meet under the further orders and whose fine spreads allow them
+    to be similar."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             may = [
-                finely_bounded(np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8), percent)
-                for left, right in zip(batch["left"], batch["right"], strict=True)
+                meet(further_a, further_b) and finely_bounded(np.frombuffer(fine_a, np.uint8), np.frombuffer(fine_b, np.uint8), percent)
+                for further_a, further_b, fine_a, fine_b in zip(*(batch[c] for c in ("further_a", "further_b", "fine_a", "fine_b")), strict=True)
             ]
             yield batch.loc[np.array(may, bool), ["a", "b"]]
 
     return run
 
 
-def _verified(percent: int, counts, orders: tuple[tuple[int, int], ...]):
-    """Pairs that meet in the prefixes of all given orders and are similar."""
-
+def _verified(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept = []
-            for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
-                left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                if all(
-                    len(np.intersect1d(prefix(left, counts.value, o, percent), prefix(right, counts.value, o, percent), True))
-                    for o in orders
-                ) and similar(left, right, percent):
-                    kept.append((a, b))
-            yield pd.DataFrame(kept, columns=["a", "b"], dtype="int64")
+            may = [
+                similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent)
+                for left, right in zip(batch["tokens_a"], batch["tokens_b"], strict=True)
+            ]
+            yield batch.loc[np.array(may, bool), ["a", "b"]]
 
     return run
 
@@ -294,46 +305,56 @@ def _docs_of(pairs: DataFrame) -> DataFrame:
     return stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
 
 
-def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    left = sets.select(F.col("doc").alias("a"), F.col(column).alias("left"))
-    right = sets.select(F.col("doc").alias("b"), F.col(column).alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+def _with_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("doc").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", *(f"{c}_{name}" for c in columns for name in "ab"))
 
-def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts, orders=()) -> DataFrame:
+
+def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts) -> DataFrame:
     """The pairs that are similar. Sets are made for the documents of pairs alone, and sent
-    for those of pairs that pass the fine bound."""
+    for those of pairs that pass the further orders and the fine bound."""
     wanted = _docs_of(pairs)
-    sets = stored(rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size), "doc long, fine binary, tokens binary"), "sets")
-    near = stored(_with_both(pairs, sets, "fine").mapInPandas(_finely_bounded(percent), "a long, b long"), "near")
+    made = rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size, percent, counts), "doc long, fine binary, further binary, tokens binary")
+    sets = stored(made, "sets")
+    near = stored(_with_both(pairs, sets, "fine", "further").mapInPandas(_filtered(percent), "a long, b long"), "near")
     left = _docs_of(near)
     joined = _with_both(near, sets.select("doc", "tokens").join(sized(left), "doc", "left_semi"), "tokens")
-    links = stored(joined.mapInPandas(_verified(percent, counts, orders), "a long, b long"), "links")
+    links = stored(joined.mapInPandas(_verified(percent), "a long, b long"), "links")
     discard(wanted, sets, near, left)
     return links
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Rows with the block cells they meet in, so that no token holds a task alone."""
-    crowded = rows.groupBy("token").count().where(F.col("count") > BLOCK)
+def _cells(live: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows with the block cells they meet in, so that no token holds a task alone. What
+    a row needs of its document is joined to it before it is spread over its tokens."""
+    crowded = live.groupBy("token").count().where(F.col("count") > BLOCK)
     crowded = stored(crowded.select("token", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "crowded")
-    rows = rows.join(sized(crowded), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    docs = live.groupBy("doc").agg(F.min("label").alias("label"), F.sort_array(F.collect_set("token")).alias("tokens"))
+    docs = docs.join(bounds, "doc").withColumn("earlier", F.slice("tokens", 1, EARLIER))
+    rows = docs.withColumn("token", F.explode("tokens")).drop("tokens")
+    rows = rows.join(F.broadcast(crowded) if crowded.limit(BROADCAST_KEYS).count() < BROADCAST_KEYS else crowded, "token", "left")
+    rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("side", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select(
-        "token", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "doc", "label"
-    )
+    low, high = F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high")
+    return rows.select("token", low, high, "side", "doc", "label", "n", "spread", "earlier")
 
 
 def _candidates(percent: int):
-    """Pairs of a cell (rows sorted by cell) that pass the bounds and are not connected."""
+    """Pairs of a cell (rows sorted by cell) that pass the bounds, are not connected and
+    have no lesser token in common, as far as their ``earlier`` tokens tell."""
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        doc = np.array([r[4] for r in rows])
-        label = np.array([r[5] for r in rows])
-        n = np.array([r[6] for r in rows])
-        side = np.array([r[3] for r in rows])
+        token, doc, label, n, side = (np.array([r[k] for r in rows]) for k in (0, 4, 5, 6, 3))
         spreads = np.stack([np.frombuffer(r[7], np.uint8) for r in rows])
+        # Lesser tokens of each row, the rest filled up with the cell's own.
+        earlier = np.full((len(rows), EARLIER), token[0])
+        for i, r in enumerate(rows):
+            own = np.asarray(r[8], np.int64)
+            own = own[own < token[0]]
+            earlier[i, : len(own)] = own
         cross = rows[0][1] != rows[0][2]
         values, counts = np.unique(label, return_counts=True)
         usual = values[counts.argmax()]
@@ -344,9 +365,12 @@ def _candidates(percent: int):
             if cross:
                 may &= side != side[i]
             near = np.flatnonzero(may)
-            if not len(near):
-                continue
-            for j in near[may_be_similar(n[near], spreads[near], n[i], spreads[i], percent)]:
+            near = near[may_be_similar(n[near], spreads[near], n[i], spreads[i], percent)] if len(near) else near
+            own = earlier[i][earlier[i] < token[0]]
+            if len(near) and len(own):
+                place = np.minimum(np.searchsorted(own, earlier[near]), len(own) - 1)
+                near = near[~(own[place] == earlier[near]).any(1)]
+            for j in near:
                 yield (min(doc[i], doc[j]), max(doc[i], doc[j]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -405,11 +429,10 @@ def components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size:
     # Stored first: a join with a table, not an aggregate, has its hot tokens split.
     live = stored(live.join(sized(opened), "token", "left_semi").select("token", "doc", "label"), "open")
     discard(shared, opened)
-    cells = _cells(live).join(bounds, "doc").select("token", "low", "high", "side", "doc", "label", "n", "spread")
-    cells = cells.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    cells = _cells(live, bounds).repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     pairs = stored(cells.mapInPandas(_candidates(percent), "a long, b long").distinct(), "candidates")
     discard(live, first)
-    links = links.union(_links(pairs, rows, size, percent, counts, ORDERS[1:]))
+    links = links.union(_links(pairs, rows, size, percent, counts))
     return known.join(_labels(reps, links), "doc").select(
         ids_back(F.col("doc")).alias(ident), F.col("n").cast("long").alias("n_shingles"), ids_back(F.col("label")).alias("component_id")
     )

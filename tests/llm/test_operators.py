@@ -193,6 +193,36 @@ def test_jaccard_overlap_bound_never_rules_out_a_similar_pair():
             assert jaccard.may_be_similar(len(left), jaccard.spread(left)[None], len(right), jaccard.spread(right), 75).all()
 
 
+def test_jaccard_gives_each_pair_out_once():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    shared = np.sort(rng.integers(1, 1 << 60, 30))
+    rows = []
+    for d in range(40):  # alike under every shared token, each a group of its own
+        spread = jaccard.spread(shared.view(np.uint64)).tobytes()
+        rows += [(t, 0, 0, 0, d, d, 30, spread, shared[: jaccard.EARLIER]) for t in shared.tolist()]
+    names = ["token", "low", "high", "side", "doc", "label", "n", "spread", "earlier"]
+    frame = pd.DataFrame(sorted(rows, key=lambda r: r[:3]), columns=names)
+    found = pd.concat(jaccard._candidates(75)(iter([frame[:500], frame[500:]])))
+    assert len(found) == len(found.drop_duplicates()) == 40 * 39 // 2
+
+
+def test_jaccard_further_orders_rule_out_no_similar_pair():
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 200, jaccard.CELLS).astype(np.uint16)
+    missed = 0
+    for _ in range(300):
+        base = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+        for share in (0.9, 0.1):
+            other = np.unique(np.concatenate([rng.choice(base, int(len(base) * share), False), rng.integers(0, 1 << 63, 20).astype(np.uint64)]))
+            sides = [b"".join(jaccard.prefix(t, counts, o, 75).tobytes() for o in jaccard.ORDERS[1:]) for t in (base, other)]
+            if jaccard.similar(base, other, 75):
+                assert jaccard.meet(*sides)
+            missed += not jaccard.meet(*sides)
+    assert missed > 0
+
+
 @pytest.mark.parametrize("length", [35, 4])
 def test_repeated_passages(docs, length):
     words = [(i, WORD.findall((t or "").encode())) for i, t in texts_of(docs)]
