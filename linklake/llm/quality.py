@@ -2,11 +2,13 @@
 
 Each rule looks at one signal of a text and votes good, bad or abstains. How far
 each rule can be trusted is estimated from the votes alone: expectation-maximisation
-fits, for the hidden quality, the chance of every vote given good and given bad.
-A text is kept when its posterior chance of being good reaches ``threshold``.
+fits, for the hidden quality, each rule's chance of calling a good text bad and of calling a bad
+text bad, where it votes at all; an abstention says nothing. A text is kept when its
+posterior chance of being good reaches ``threshold``, so a rule that errs is overruled.
 
 Edge cases: a null or empty text has no words, fails the base test and is dropped;
-repeated rows are scored alike; an empty table gives an empty result; further
+repeated rows are scored alike; very long texts are read whole; a posterior equal to the
+threshold keeps a text; an empty table gives an empty result; further
 columns of the input, whatever their names, are carried as they are.
 """
 
@@ -24,7 +26,8 @@ from linklake.llm.words import covered, hashes, windows, words_of
 
 SYMBOLS = b"#*$%&|<>"
 _CONTINUATION = bytes(range(0x80, 0xC0))
-FALSE_ALARM = 0.002
+FALSE_ALARM = 0.01  # chance that a rule calls a good text bad, before votes are seen
+STRENGTH = 1.0  # weight of that belief, in times the number of texts
 SIGNALS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long, n_distinct long"
 
 
@@ -93,28 +96,29 @@ class VoteModel:
         return 1 / (1 + F.exp(-total))
 
 
-def fitted(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, false_alarm: float = FALSE_ALARM) -> VoteModel:
+def fitted(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, false_alarm: float = FALSE_ALARM, strength: float = STRENGTH
+) -> VoteModel:
     """Expectation-maximisation over distinct vote patterns and how often each occurs.
 
     The hidden classes are named by the start: a pattern begins as bad if any rule says
-    so, since texts are bad in different ways that seldom meet. Every class and vote gets
-    one pseudo-count, a rule keeps its direction (a vote never counts for the opposite
-    class), and the chance that a rule calls a good text bad stays below ``false_alarm``.
+    so, since texts are bad in different ways that seldom meet. For the same reason votes alone
+    cannot tell a rare fault from a rule's error, so false alarms have a prior: ``false_alarm``, worth
+    ``strength`` times as many texts as there are. Votes move it: a rule that the others
+    contradict often enough is learnt to err. A bad vote never counts for good.
     """
-    shown = np.stack([patterns == vote for vote in (-1, 0, 1)], axis=2)  # pattern, rule, vote
-    good = np.where((patterns == 0).any(1), 0.05, 0.95)
+    bad, good_vote = (patterns == 0).astype(float), (patterns == 1).astype(float)
+    good = np.where(bad.any(1), 0.05, 0.95)
     total = counts.sum()
     for _ in range(rounds):
-        weight = np.stack([(1 - good) * counts, good * counts])  # class, pattern
-        prior = np.clip((weight[1].sum() + 1) / (total + 2), 0.01, 0.99)
-        chance = (np.einsum("cp,prv->crv", weight, shown) + 1) / (weight.sum(1)[:, None, None] + 3)
-        chance[1, :, 1] = np.minimum(chance[1, :, 1], false_alarm)
-        odds = np.log(chance[1]) - np.log(chance[0])  # rule, vote
-        odds[:, 1] = np.minimum(odds[:, 1], 0)
-        odds[:, 2] = np.maximum(odds[:, 2], 0)
-        score = np.log(prior) - np.log1p(-prior) + np.einsum("prv,rv->p", shown, odds)
+        of_good, of_bad = good * counts, (1 - good) * counts
+        prior = np.clip((of_good.sum() + 1) / (total + 2), 0.01, 0.99)
+        alarm = (of_good @ bad + false_alarm * strength * total) / (of_good @ (bad + good_vote) + strength * total)
+        found = np.maximum((of_bad @ bad + 1) / (of_bad @ (bad + good_vote) + 2), alarm)
+        odds = np.stack([np.zeros(len(alarm)), np.log(alarm / found), np.log((1 - alarm) / (1 - found))], axis=1)
+        score = np.log(prior) - np.log1p(-prior) + bad @ odds[:, 1] + good_vote @ odds[:, 2]
         new = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
-        if np.abs(new - good).max() < 1e-9:
+        if np.abs(new - good).max() < 1e-10:
             break
         good = new
     return VoteModel(float(prior), tuple(tuple(map(float, row)) for row in odds))

@@ -94,7 +94,48 @@ def test_quality_model_trusts_rules_by_their_votes():
     patterns = np.array([[1, 1, 1], [1, 0, 1], [0, 1, 0], [-1, -1, -1]])
     model = quality.fitted(patterns, np.array([900.0, 50.0, 40.0, 10.0]))
     odds = [sum(row[v + 1] for row, v in zip(model.log_odds, p)) for p in patterns.tolist()]
-    assert odds[0] > 0 > odds[1] and odds[2] < 0
+    assert odds[0] > 0 > odds[2] and odds[3] == 0
+    assert odds[1] > 0 and model.log_odds[1][1] > model.log_odds[0][1]  # two rules that agree overrule the third
+
+
+def verdicts(patterns, model):
+    prior = np.log(model.prior / (1 - model.prior))
+    return np.array([prior + sum(row[v + 1] for row, v in zip(model.log_odds, p)) >= 0 for p in patterns.tolist()])
+
+
+@pytest.mark.parametrize("noise", [0.1, 0.3])
+def test_quality_model_overrules_a_rule_that_errs(noise):
+    rng = np.random.default_rng(1)
+    good = rng.random(20_000) < 0.8
+    votes = np.where(good[:, None], rng.random((20_000, 6)) > 0.02, rng.random((20_000, 6)) > 0.7).astype(int)
+    votes[:, 0] = rng.random(20_000) > noise  # says bad at random
+    votes[rng.random(votes.shape) < 0.2] = -1
+    patterns, place, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = quality.fitted(patterns, counts.astype(float))
+    kept = verdicts(patterns, model)[place.ravel()]
+    one_bad = (votes[:, 0] == 0) & (votes[:, 1:] != 0).all(1) & (votes[:, 1:] == 1).any(1)
+    assert kept[one_bad].mean() > 0.9 and (kept == good).mean() > 0.95
+    assert model.log_odds[0][1] > max(row[1] for row in model.log_odds[1:]) + 1  # trusted least
+
+
+def test_quality_abstentions_are_neutral():
+    patterns = np.array([[1, 1, 1], [-1, 1, 1], [-1, -1, -1], [0, 1, 1], [0, 0, 1]])
+    model = quality.fitted(patterns, np.array([800.0, 90.0, 30.0, 50.0, 30.0]))
+    assert all(row[0] == 0 for row in model.log_odds)
+    assert verdicts(patterns, model).tolist() == [True, True, True, False, False]
+
+
+def test_quality_verdict(docs):
+    """Kept and base_failed as worked out row by row from the model's numbers."""
+    rows = docs.select("doc_id", quality.signals(F.col("text").cast("binary")).alias("s"))
+    model = quality.fit(*quality.vote_frame(rows))
+    posterior, kept = quality.verdict(model)
+    given = [v.alias(f"v{i}") for i, v in enumerate(quality.votes(F.col("s")))]
+    for r in rows.select("s", *given, posterior.alias("p"), kept.alias("kept"), quality.base_failed(F.col("s")).alias("failed")).collect():
+        words, repeated = r["s"]["n_words"], r["s"]["n_repeat_words"]
+        assert r["failed"] == (words < 50 or 100 * repeated > 50 * words)
+        odds = np.log(model.prior / (1 - model.prior)) + sum(model.log_odds[i][r[f"v{i}"] + 1] for i in range(len(given)))
+        assert abs(r["p"] - 1 / (1 + np.exp(-odds))) < 1e-9 and r["kept"] == (not r["failed"] and r["p"] >= 0.5)
 
 
 def test_packing(docs):
