@@ -9,12 +9,17 @@ a task searches one tree for one block: pages wait in a queue by the least dista
 below can have; the triangle inequality on stored distances rules entries out before any
 distance is computed. The shards' best are merged per query.
 
-Distances only rule out; scores are exact whole numbers, and ties go to the smaller id.
+Distances only rule out; scores are exact whole numbers, and ties go to the smaller id, then
+to the row that was read first.
 
-Edge cases: vectors that are null, empty, or hold null or non-finite components take no
-part; shorter vectors count as padded with zeros; rows that share an id are one row (the
-smallest vector in array order stands); equal vectors are ranked by id; an empty table gives
-an empty result; other columns are ignored.
+How much the bounds rule out is up to the data: where neighbours lie in clusters, most rows
+are passed over; among vectors that all lie about equally far from each other, as random ones in
+many dimensions do, no metric bound can rule out anything.
+
+Edge cases: vectors that are null or hold null or non-finite components take no part; an
+empty vector scores 0 with every row; shorter vectors count as padded with zeros; rows that
+share an id are rows of their own, as candidates and as queries; a row without an id is a
+candidate whose id is null and comes last among ties; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +40,8 @@ LEAF_ROWS = 128
 FAN_OUT = 16
 SCALE = 256
 PAGE = "shard int, page int, leaf boolean, size int, ids binary, vectors binary, radii binary, to_parent binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, query_row long, vec_id long, row long, score long"
+NO_ID = (1 << 63) - 1  # stands for a null id inside tasks
 
 
 def whole_numbers(vector: Column) -> Column:
@@ -44,7 +50,7 @@ def whole_numbers(vector: Column) -> Column:
 
 def usable(vector: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vector.isNotNull() & (F.size(vector) > 0) & finite
+    return vector.isNotNull() & finite
 
 
 def lifted(vectors: np.ndarray, longest: int) -> np.ndarray:
@@ -65,7 +71,8 @@ class _Builder:
         self.pages: list[tuple] = []
 
     def build(self, rows: np.ndarray, centre: np.ndarray) -> int:
-        """Page number of a subtree over ``rows`` whose routing vector is ``centre``."""
+        """Page number of a subtree over ``rows`` whose routing vector is ``centre``. Entries of
+        a leaf are known by id and row number."""
         number = len(self.pages)
         self.pages.append(())
         if len(rows) <= LEAF_ROWS:
@@ -100,13 +107,13 @@ class _Builder:
 
 def _built(longest: int, width: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(rows["vec_id"].to_numpy(), kind="stable")
-        ids = rows["vec_id"].to_numpy()[order]
+        order = np.lexsort((rows["row"].to_numpy(), rows["vec_id"].to_numpy()))
+        ids = rows[["vec_id", "row"]].to_numpy(np.int64)[order]
         vectors = _matrix([rows["vector"].iloc[i] for i in order], width)
         builder = _Builder(ids, vectors, longest)
         builder.build(np.arange(len(ids)), builder.points[0])
         pages = [
-            (key[0], i, leaf, len(kids), kids.tobytes(), np.ascontiguousarray(found).tobytes(), radii.tobytes(), np.asarray(to_parent, float).tobytes())
+            (key[0], i, leaf, len(kids), np.ascontiguousarray(kids).tobytes(), np.ascontiguousarray(found).tobytes(), radii.tobytes(), np.asarray(to_parent, float).tobytes())
             for i, (leaf, kids, found, radii, to_parent) in enumerate(builder.pages)
         ]
         return pd.DataFrame(pages, columns=[p.split()[0] for p in PAGE.split(", ")])
@@ -130,6 +137,7 @@ class Tree:
         for row in pages.itertuples(index=False):
             kind, columns = (np.int64, width) if row.leaf else (float, width + 1)
             ids = np.frombuffer(row.ids, np.int64)
+            ids = ids.reshape(-1, 2) if row.leaf else ids
             vectors = np.frombuffer(row.vectors, kind).reshape(len(ids), columns)
             self.pages[row.page] = (row.leaf, ids, vectors, np.frombuffer(row.radii, float), np.frombuffer(row.to_parent, float))
         self.first = self._first()
@@ -142,12 +150,12 @@ class Tree:
             page = self.pages[int(page[1][0])]
         return lifted(page[2][:1], self.longest)[0]
 
-    def best(self, own_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the k best, best first."""
+    def best(self, own_row: int, query: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """(score, id, row) of the k best, best first."""
         point = np.append(query.astype(float), 0.0)
         base = float((query * query).sum()) + self.longest
         slack = 1e-6 * (1 + np.sqrt(base))
-        found: list[tuple[int, int]] = []  # a heap of (score, -id), the worst first
+        found: list[tuple[int, int, int]] = []  # a heap of (score, -id, -row), the worst first
         limit = np.inf
         queue = [(0.0, 0, float(np.sqrt(((point - self.first) ** 2).sum())))]
         while queue:
@@ -174,10 +182,10 @@ class Tree:
             if len(found) == k:
                 keep = scores >= found[0][0]
                 near, scores = near[keep], scores[keep]
-            order = np.lexsort((ids[near], -scores))[: k + 1]
+            order = np.lexsort((ids[near, 1], ids[near, 0], -scores))[: k + 1]
             for i in order:
-                entry = (int(scores[i]), -int(ids[near[i]]))
-                if -entry[1] == own_id:
+                entry = (int(scores[i]), *(-ids[near[i]]).tolist())
+                if -entry[2] == own_row:
                     continue
                 if len(found) < k:
                     heapq.heappush(found, entry)
@@ -185,7 +193,7 @@ class Tree:
                     heapq.heapreplace(found, entry)
             if len(found) == k:
                 limit = float(np.sqrt(max(base - 2.0 * found[0][0], 0.0))) + slack
-        return [(score, -other) for score, other in sorted(found, reverse=True)]
+        return [(score, -other, -row) for score, other, row in sorted(found, reverse=True)]
 
 
 def _searched(width: int, longest: int, k: int):
@@ -193,9 +201,10 @@ def _searched(width: int, longest: int, k: int):
         rows = []
         if len(pages) and len(queries):
             tree = Tree(pages, width, longest)
-            for own, query in zip(queries["vec_id"], _matrix(list(queries["vector"]), width), strict=True):
-                rows.extend((own, other, score) for score, other in tree.best(own, query, k))
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+            asking = zip(queries["vec_id"], queries["row"], _matrix(list(queries["vector"]), width), strict=True)
+            for own, own_row, query in asking:
+                rows.extend((own, own_row, other, row, score) for score, other, row in tree.best(own_row, query, k))
+        return pd.DataFrame(rows, columns=[p.split()[0] for p in FOUND.split(", ")]).astype("int64")
 
     return run
 
@@ -205,18 +214,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, ident: str = "vec_id
     every other row."""
     from pyspark.sql import Window
 
-    rows = vectors.where(usable(F.col(vector)) & F.col(ident).isNotNull())
-    rows = rows.select(F.col(ident).cast("long").alias("vec_id"), whole_numbers(F.col(vector)).alias("vector"), is_query.alias("asks"))
-    rows = stored(rows.groupBy("vec_id").agg(F.min("vector").alias("vector"), F.max("asks").alias("asks")), "vectors")
+    rows = vectors.where(usable(F.col(vector))).select(
+        F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)).alias("vec_id"), whole_numbers(F.col(vector)).alias("vector"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("row"),
+    )
+    rows = stored(rows, "vectors")
     length = F.aggregate("vector", F.lit(0).cast("long"), lambda t, x: t + x * x)
     n, asked, width, longest = rows.agg(F.count("*"), F.count_if("asks"), F.max(F.size("vector")), F.max(length)).first()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-asked // QUERY_ROWS))
     width, longest = width or 0, longest or 0
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    pages = stored(dealt.select("shard", "vec_id", "vector").groupBy("shard").applyInPandas(_built(longest, width), PAGE), "pages")
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+    pages = stored(dealt.select("shard", "vec_id", "row", "vector").groupBy("shard").applyInPandas(_built(longest, width), PAGE), "pages")
     tree = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = rows.where("asks").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-    queries = queries.select("vec_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    queries = rows.where("asks").withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int"))
+    queries = queries.select("vec_id", "row", "vector", "block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     found = tree.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(_searched(width, longest, k), FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
+    found = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    ids = [F.nullif(F.col(name), F.lit(NO_ID)).alias(name) for name in ("query_id", "vec_id")]
+    return found.select(ids[0], "rank", ids[1], "score")

@@ -383,6 +383,24 @@ def test_top_k(spark, monkeypatch, leaf):
     assert mtree.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard", [16_384, 40])
+def test_top_k_keeps_every_row(spark, monkeypatch, shard):
+    """Repeated ids, rows without an id and empty vectors are rows like all others."""
+    ship(spark)
+    monkeypatch.setattr(mtree, "SHARD_ROWS", shard)
+    rng = np.random.default_rng(8)
+    rows = [(50, [1.0, 0.0]), (7, [3.0, 0.0]), (7, [2.0, 0.0]), (None, [2.5, 0.0]), (8, [0.5, 0.0]), (50, [1.0, 1.0]), (100, []), (None, [1.0, 0.0])]
+    rows += [(int(rng.integers(0, 60)), [float(x) for x in rng.integers(-2, 3, 2)]) for _ in range(150)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    known = [(i, np.floor(256 * np.pad(np.array(v, float), (0, 2 - len(v)))).astype(int)) for i, v in rows]
+    want = []
+    for n, (i, q) in enumerate(known):
+        if i is not None and i % 50 == 0:
+            ranked = sorted((-int(q @ v), j is None, j or 0) for m, (j, v) in enumerate(known) if m != n)[:5]
+            want.extend((i, place, None if none else j, -s) for place, (s, none, j) in enumerate(ranked, 1))
+    same(mtree.top_k(frame, F.col("vec_id") % 50 == 0).collect(), want)
+
+
 def test_tree_passes_over_most_rows():
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 400, (40, 16))
@@ -390,12 +408,12 @@ def test_tree_passes_over_most_rows():
     longest = int((vectors**2).sum(1).max())
     import pandas as pd
 
-    pages = mtree._built(longest, 16)((0,), pd.DataFrame({"vec_id": np.arange(4000), "vector": list(vectors)}))
+    pages = mtree._built(longest, 16)((0,), pd.DataFrame({"vec_id": np.arange(4000), "row": np.arange(4000), "vector": list(vectors)}))
     tree = mtree.Tree(pages, 16, longest)
     for i in range(0, 4000, 400):
         scores = vectors @ vectors[i]
         order = [j for j in np.lexsort((np.arange(4000), -scores)) if j != i][:5]
-        assert tree.best(i, vectors[i], 5) == [(int(scores[j]), int(j)) for j in order]
+        assert tree.best(i, vectors[i], 5) == [(int(scores[j]), int(j), int(j)) for j in order]
     assert tree.computed < 0.5 * 10 * 4000
 
 
