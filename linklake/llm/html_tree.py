@@ -53,12 +53,14 @@ KEEPS_IN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("ta
 _NOISE_WORD = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|menu\w*|nav\w*|navbar|breadcrumbs?|header|masthead|topbar|footer\w*|side-?bar\w*|"
     r"aside|widget\w*|cookie\w*|consent|notice\w*|gdpr|alert\w*|popup\w*|modal\w*|overlay|subscri\w+|newsletter\w*|signup|login|"
-    r"comments?|comment\w*|respond|replies|disqus\w*|reviews?|share|sharing|social\w*|related\w*|recommend\w*|pagination|pager|toolbar|search\w*)(?=$|[\s_-])",
+    r"comments?|comment\w*|respond|replies|disqus\w*|reviews?|share|sharing|social\w*|related(?=$|\s)|related[_-]?(?:posts?|articles?|links?|content|stories|items|news|pages)|recommend\w*|pagination|pager|toolbar|search\w*)(?=$|[\s_-])",
     re.I,
 )
+_COMMENT = re.compile(r"(?:^|[\s_-])(?:comment|reply|replies)", re.I)
 _NOISE_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 _NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_LOOKED_AT = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -76,9 +78,11 @@ def _key(parent: int, style: str) -> int:
 
 
 def _attributes(raw: str) -> dict[str, str]:
+    """Attributes one after another, so that no name is looked for inside a value."""
     found: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(raw) if raw else ():
-        found.setdefault(name.lower(), value.strip("\"'"))
+        if (name := name.lower()) in _LOOKED_AT:
+            found.setdefault(name, value.strip("\"'"))
     return found
 
 
@@ -214,6 +218,8 @@ def _is_noise(tag: str, attributes: dict[str, str], stack: _Stack) -> bool:
         return False
     if attributes.get("role", "").lower() in _NOISE_ROLE:
         return True
+    if tag == "article":  # an article that has reviews or adverts for its subject is still one
+        return any(_COMMENT.search(attributes[a]) for a in ("class", "id") if a in attributes)
     return any(_NOISE_WORD.search(attributes[a]) for a in ("class", "id") if a in attributes)
 
 

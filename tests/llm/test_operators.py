@@ -430,6 +430,26 @@ def test_main_text():
     assert html_tree.main_text("a < b <p>c") == "a < b\n\nc"
 
 
+@pytest.mark.parametrize(
+    "tag,kept",
+    [
+        ("<div style='overflow:hidden'>", True), ("<p style='visibility: hidden'>", True), ("<p title='well hidden gem'>", True),
+        ("<div data-class='promo'>", True), ("<p data-id='nav'>", True), ("<div class='related-work'>", True), ("<div class=promo>", False),
+        ("<div hidden>", False), ("<div aria-hidden = 'true'>", False), ("<div title=\"a > b\" class='x promo'>", False),
+        ("<div CLASS='Related-Posts'>", False), ("<div class='a' class='promo'>", True), ("<div role=navigation>", False), ("<div data-x=1 hidden=''>", False),
+    ],
+)
+def test_attributes_are_read_by_name(tag, kept):
+    name = tag[1:].split()[0].rstrip(">")
+    page = f"<body><article><p>one</p>{tag}two</{name}><p>three</p></article></body>"
+    assert html_tree.main_text(page) == ("one\n\ntwo\n\nthree" if kept else "one\n\nthree")
+
+
+def test_article_is_not_judged_by_its_subject():
+    assert html_tree.main_text("<article class='post review'><p>text</p></article>") == "text"
+    assert html_tree.main_text("<article><p>text</p></article><article class='comment-body'><p>me too</p></article>") == "text"
+
+
 def test_site_tree_removes_what_every_page_has(spark):
     ship(spark)
     page = "<body><article><p>story {0}</p><div class='box'>Read our paper every day</div><p>more {0}</p></article></body>"
