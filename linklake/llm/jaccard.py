@@ -17,8 +17,8 @@ in the permutation of equals.
    group change no group, so none is lost.
 
 In both rounds a pair goes on only if its prefixes meet under the other orders too. These prefixes
-are worked out once for each document of a pair and joined to the pairs by themselves;
-whole sets are joined to what is left.
+are worked out once for each document of a pair and joined, as hashes of half the length, to
+the pairs that pass the overlap bounds; whole sets are joined to what is left.
 
 The overlap bound counts, per hash bucket, how many tokens two sets can have in common.
 Candidates are tried with few buckets first; those that pass, with buckets that grow with
@@ -54,7 +54,7 @@ SLICE = 1 << 12
 ORDERS = ((0x51ED2701, 0), (0x2545F491, 4), (0x9E3779B1, 6))  # seed, and bits of a count left out
 BUCKETS = 128  # of the overlap bound
 BLOCK = 512  # documents of one token that meet in one task at a time
-EARLIER = 64  # least open tokens of a document that travel with each of its rows
+EARLIER = 24  # least open tokens of a document that travel with each of its rows
 _SEEN = 200_000
 
 
@@ -219,17 +219,22 @@ def _sets(size: int, percent: int, counts):
             yield pd.DataFrame({
                 "doc": batch["doc"],
                 "fine": [fine_spread(t).tobytes() for t in sets],
-                "further": [b"".join(prefix(t, counts.value, o, percent).tobytes() for o in ORDERS[1:]) for t in sets],
+                "further": [further(t, counts.value, percent) for t in sets],
                 "tokens": [t.tobytes() for t in sets],
             })
 
     return run
 
 
+def further(tokens: np.ndarray, counts: np.ndarray, percent: int) -> bytes:
+    """The prefixes under the further orders, one after the other, half a token each."""
+    return b"".join(prefix(tokens, counts, o, percent).astype(np.uint32).tobytes() for o in ORDERS[1:])
+
+
 def meet(left: bytes, right: bytes) -> bool:
-    """Do prefixes meet under every further order?"""
-    sides = (np.frombuffer(side, np.uint64).reshape(len(ORDERS) - 1, -1) for side in (left, right))
-    return all(len(np.intersect1d(a, b, True)) for a, b in zip(*sides, strict=True))
+    """Whether prefixes may meet under every further order; never no where they do."""
+    sides = (np.frombuffer(side, np.uint32).reshape(len(ORDERS) - 1, -1) for side in (left, right))
+    return all(len(np.intersect1d(a, b)) for a, b in zip(*sides, strict=True))
 
 
 def _centres(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,29 +279,13 @@ def _bounded(percent: int):
     return run
 
 
-def _filtered(percent: int):
-    """Pairs whose prefixes meet under the further orders and whose fine spreads allow them
-    to be similar."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            may = [
-                meet(further_a, further_b) and finely_bounded(np.frombuffer(fine_a, np.uint8), np.frombuffer(fine_b, np.uint8), percent)
-                for further_a, further_b, fine_a, fine_b in zip(*(batch[c] for c in ("further_a", "further_b", "fine_a", "fine_b")), strict=True)
-            ]
-            yield batch.loc[np.array(may, bool), ["a", "b"]]
-
-    return run
-
+def _pairs_where(test):
+    """Pairs that pass a test of what two columns hold of their sides."""
 
-def _verified(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            may = [
-                similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent)
-                for left, right in zip(batch["tokens_a"], batch["tokens_b"], strict=True)
-            ]
-            yield batch.loc[np.array(may, bool), ["a", "b"]]
+            left, right = (batch[c] for c in batch.columns[2:])
+            yield batch.loc[np.array([test(a, b) for a, b in zip(left, right, strict=True)], bool), ["a", "b"]]
 
     return run
 
@@ -305,24 +294,33 @@ def _docs_of(pairs: DataFrame) -> DataFrame:
     return stored(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
 
 
-def _with_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("doc").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
-
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", *(f"{c}_{name}" for c in columns for name in "ab"))
+def _kept(pairs: DataFrame, sets: DataFrame, column: str, test, name: str) -> DataFrame:
+    """The pairs that pass a test of a column of ``sets``, which is joined to both sides."""
+    left = sets.select(F.col("doc").alias("a"), F.col(column).alias("left"))
+    right = sets.select(F.col("doc").alias("b"), F.col(column).alias("right"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+    return stored(joined.mapInPandas(_pairs_where(test), "a long, b long"), name)
 
 
 def _links(pairs: DataFrame, rows: DataFrame, size: int, percent: int, counts) -> DataFrame:
     """The pairs that are similar. Sets are made for the documents of pairs alone, and sent
-    for those of pairs that pass the further orders and the fine bound."""
+    for those of pairs that pass the fine bound and the further orders."""
+
+    def bounded(left: bytes, right: bytes) -> bool:
+        return finely_bounded(np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8), percent)
+
+    def alike(left: bytes, right: bytes) -> bool:
+        return similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent)
+
     wanted = _docs_of(pairs)
     made = rows.join(sized(wanted), "doc", "left_semi").mapInPandas(_sets(size, percent, counts), "doc long, fine binary, further binary, tokens binary")
     sets = stored(made, "sets")
-    near = stored(_with_both(pairs, sets, "fine", "further").mapInPandas(_filtered(percent), "a long, b long"), "near")
+    near = _kept(pairs, sets, "fine", bounded, "near")
     left = _docs_of(near)
-    joined = _with_both(near, sets.select("doc", "tokens").join(sized(left), "doc", "left_semi"), "tokens")
-    links = stored(joined.mapInPandas(_verified(percent), "a long, b long"), "links")
-    discard(wanted, sets, near, left)
+    sets_left = sets.join(sized(left), "doc", "left_semi")
+    meeting = _kept(near, sets_left, "further", meet, "meeting")
+    links = _kept(meeting, sets_left, "tokens", alike, "links")
+    discard(wanted, sets, near, left, meeting)
     return links
 
 
