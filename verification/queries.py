@@ -161,9 +161,9 @@ def ads_dim(spark, sf_dir):
 # --- metrics ------------------------------------------------------------------
 
 
-def _metric(name: str, weight: str | None = None):
+def _metric(name: str, **options: str):
     def query(spark, sf_dir):
-        return metrics.compute_metrics(_enriched(spark, sf_dir), weight)[name]
+        return getattr(metrics, name)(_enriched(spark, sf_dir), **options)
 
     return query
 
@@ -434,7 +434,7 @@ QUERIES = {
     "top_countries": _metric("top_countries"),
     "ad_based_ratio": _metric("ad_based_ratio"),
     "ad_domain_by_country": _metric("ad_domain_by_country"),
-    "weighted_links_by_category": _metric("links_by_category", "frequency"),
+    "weighted_links_by_category": _metric("links_by_category", weight="frequency"),
     "page_anchors": page_anchors,
     "page_links_union": page_links_union,
     "links_limited_per_page": links_limited_per_page,
