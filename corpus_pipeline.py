@@ -2,6 +2,7 @@
 
 Each stage works on all rows its predecessor kept and is written as Parquet before the next
 one reads it. Rows keep the columns of documents up to the last stage, which packs them.
+Very long texts are read whole by every stage, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the rules' posterior finds good."""
+    """Rows that the rules' posterior finds good. Null, empty and short texts fail the base test
+    and go; equal rows are kept or go together; ids and other columns play no part."""
     ship(spark)
     return quality.good_rows(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that do not score as toxic."""
+    """Rows that do not score as toxic. Null and empty texts have the score of the bias; equal
+    texts score alike; a row without an id is scored like others but never trained on."""
     ship(spark)
     return toxicity.clean_rows(docs, table(spark, sf_dir, "labels"))
 
@@ -44,14 +47,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that repeat; ``n_chars`` follows the text."""
+    """Texts without passages that repeat; ``n_chars`` follows the text. No row goes: a text that
+    repeats from end to end becomes empty, a null text stays null, and texts without a
+    repeated passage stay as they are."""
     ship(spark)
     rows = substrings.without_repeats(docs)
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each text is placed."""
+    """Where each piece of each text is placed. Null and empty texts are one piece of one token,
+    a null id stays null, and repeated rows are placed each for itself."""
     ship(spark)
     return packing.sequences(docs, public_tokenizers.path(WORD_BPE))
 
