@@ -40,16 +40,19 @@ def create_link_table(spark: SparkSession, table: str = LINK_TABLE, location: st
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {columns} USING parquet{place}")
 
 
-def _load_number(spark: SparkSession, table: str) -> int:
+def _location(spark: SparkSession, table: str) -> str:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return found["data_type"].rstrip("/")
+
+
+def _load_number(spark: SparkSession, location: str) -> int:
     """A number that no other load of the table has, from empty files beside the table.
 
     The next free one is claimed by making its file, which one of several loads achieves.
     """
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
-    loads = f"{location.rstrip('/')}-loads"
-    taken = storage.names(spark, loads)
+    taken = storage.names(spark, f"{location}-loads")
     number = int(taken[-1]) + 1 if taken else 1
-    while not storage.claim(spark, f"{loads}/{number:09d}"):
+    while not storage.claim(spark, f"{location}-loads/{number:09d}"):
         number += 1
     return number
 
@@ -60,17 +63,23 @@ def append_links(links: DataFrame, table: str = LINK_TABLE) -> None:
     A load has a range of ids of its own, ``IDS_A_LOAD`` from its number on, so loads at the same
     time never share an id and no load looks at the rows of others. Inside it ids
     are dense: rows are staged once with their place in a partition, and the sizes of the partitions
-    before do the rest. The append is one commit.
+    before do the rest. A load is written whole beside the table and its files are then moved in:
+    writers that append to one folder at a time would clear each other's unfinished files away.
     """
     spark = links.sparkSession
     create_link_table(spark, table)
     kept = links.where(F.col("link").isNotNull()).select("link")
     staged = storage.written(kept.select("link", F.monotonically_increasing_id().alias("place")), "staged-links")
     part, inside = F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    offsets, first = [], _load_number(spark, table) * IDS_A_LOAD
+    location = _location(spark, table)
+    load = _load_number(spark, location)
+    offsets, first = [], load * IDS_A_LOAD
     for number, size in sorted(map(tuple, staged.groupBy(part).count().collect())):  # a row a partition
         offsets.append((number, first))
         first += size
     before = F.broadcast(spark.createDataFrame(offsets, "part bigint, before bigint"))
     rows = staged.withColumn("part", part).join(before, "part")
-    rows.select((F.col("before") + inside).alias("id"), "link").write.insertInto(table)
+    rows = rows.select((F.col("before") + inside).alias("id"), "link")
+    rows.write.parquet(f"{location}-staged/{load:09d}")
+    storage.move_files(spark, f"{location}-staged/{load:09d}", location)
+    spark.catalog.refreshTable(table)

@@ -48,6 +48,18 @@ def claim(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def move_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the data files of a folder into another on the same file system, and drop the folder.
+    Files that Spark writes have names of their own, so none is replaced."""
+    store, place = _place(spark, target)
+    for name in names(spark, folder):
+        if not name.startswith(("_", ".")):
+            source = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+            if not store.rename(source, spark._jvm.org.apache.hadoop.fs.Path(place, name)):
+                raise OSError(f"cannot move {name} to {target}")
+    store.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared working folder and read again."""
     path = work_folder(frame.sparkSession, name)

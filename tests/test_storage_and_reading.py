@@ -148,7 +148,7 @@ def test_look_up_asks_once(spark, tmp_path):
 def test_loads_at_once_share_no_ids(spark, tmp_path):
     table = "links_at_once"
     link_sink.create_link_table(spark, table, location=str(tmp_path / "links"))
-    frames = [spark.range(n, n + 500).select(F.concat(F.lit("http://x.com/"), "id").alias("link")).repartition(3) for n in (0, 10_000, 20_000)]
+    frames = [spark.range(n, n + 500).select(F.concat(F.lit("http://x.com/"), "id").alias("link")).repartition(3) for n in range(0, 6_000, 1_000)]
     threads = [threading.Thread(target=link_sink.append_links, args=(f, table)) for f in frames]
     for t in threads:
         t.start()
@@ -156,12 +156,13 @@ def test_loads_at_once_share_no_ids(spark, tmp_path):
         t.join()
     rows = spark.table(table).collect()
     loads = Counter(r["id"] // link_sink.IDS_A_LOAD for r in rows)
-    assert len({r["id"] for r in rows}) == 1_500 and sorted(loads.values()) == [500] * 3
+    assert len({r["id"] for r in rows}) == len({r["link"] for r in rows}) == 3_000 and sorted(loads.values()) == [500] * 6
     for load in loads:
         own = sorted(r["id"] for r in rows if r["id"] // link_sink.IDS_A_LOAD == load)
         assert own == list(range(own[0], own[0] + 500))
     link_sink.append_links(spark.createDataFrame([], "link string"), table)
-    assert spark.table(table).count() == 1_500
+    assert spark.table(table).count() == 3_000
+    assert not list(tmp_path.glob("links-staged/*"))
 
 
 # --- streams ----------------------------------------------------------------
