@@ -67,6 +67,10 @@ class WordIds(dict):
             return self._short(text)
         return b"".join(map(self._word, text.replace("\n", " ").split(" ")))
 
+    def forget(self) -> None:
+        self.clear()
+        self.older.clear()
+
     def _word(self, word: str) -> bytes:
         return self._short(word) if self._is_plain(word) else self._encoded(word)
 
@@ -114,14 +118,17 @@ def word_ids(path: str) -> WordIds:
 def _pieces(path: str, budget: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, end = word_ids(path), END_ID.to_bytes(4, "little")
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                ids = own.of(text or "") + end
-                for piece, at in enumerate(range(0, len(ids) // 4, budget)):
-                    part = ids[4 * at : 4 * (at + budget)]
-                    rows.append((doc, piece, at, len(part) // 4, zlib.crc32(part)))
-            yield pd.DataFrame(rows, columns=["doc", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                rows = []
+                for doc, text in zip(batch["doc"], batch["text"], strict=True):
+                    ids = own.of(text or "") + end
+                    for piece, at in enumerate(range(0, len(ids) // 4, budget)):
+                        part = ids[4 * at : 4 * (at + budget)]
+                        rows.append((doc, piece, at, len(part) // 4, zlib.crc32(part)))
+                yield pd.DataFrame(rows, columns=["doc", "piece", "start", "length", "ids_crc32"])
+        finally:  # the worker goes on to other tasks, which need the room
+            own.forget()
 
     return run
 

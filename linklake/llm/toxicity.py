@@ -49,8 +49,8 @@ THRESHOLD = 0.7
 _CORE = re.compile(r"\w+")
 _EXCLAIMS = re.compile(rb"!{3,}")
 _SHOUTS = re.compile(rb"\b[A-Z]{4,}\b")
-KEPT_WORDS = 300_000
-KEPT_FEATURES = 500_000
+KEPT_WORDS = 120_000
+KEPT_FEATURES = 250_000
 
 
 def word_features(word: bytes) -> tuple[str, ...]:
