@@ -17,20 +17,32 @@ from linklake.llm import jaccard, packing, quality, substrings, toxicity
 from linklake.llm.queries import WORD_BPE
 from linklake.llm.tables import ship, stored, table
 
+# Rows and bytes at most that are handed to Python at a time. Workers serve one stage after
+# the other and keep the room that their largest batch took.
+BATCH_ROWS, BATCH_BYTES = 2_000, "8m"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _ready(spark: SparkSession) -> None:
+    """Ship the package, and bound the session's batches to Python where they are larger."""
+    ship(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the rules' posterior finds good. Null, empty and short texts fail the base test
     and go; equal rows are kept or go together; ids and other columns play no part."""
-    ship(spark)
+    _ready(spark)
     return quality.good_rows(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that do not score as toxic. Null and empty texts have the score of the bias; equal
     texts score alike; a row without an id is scored like others but never trained on."""
-    ship(spark)
+    _ready(spark)
     return toxicity.clean_rows(docs, table(spark, sf_dir, "labels"))
 
 
@@ -38,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates the row with the smallest id, a null before all others.
     Rows are known by their id and text, so rows that share an id are told apart; of rows that
     are equal in both, one is kept."""
-    ship(spark)
+    _ready(spark)
     rows = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
     groups = jaccard.components(rows, "row_key").select("row_key", "component_id").distinct()
     own = rows.select("row_key", "doc_id").distinct().join(groups, "row_key")
@@ -50,7 +62,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Texts without passages that repeat; ``n_chars`` follows the text. No row goes: a text that
     repeats from end to end becomes empty, a null text stays null, and texts without a
     repeated passage stay as they are."""
-    ship(spark)
+    _ready(spark)
     rows = substrings.without_repeats(docs)
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -58,7 +70,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each text is placed. Null and empty texts are one piece of one token,
     a null id stays null, and repeated rows are placed each for itself."""
-    ship(spark)
+    _ready(spark)
     return packing.sequences(docs, public_tokenizers.path(WORD_BPE))
 
 
