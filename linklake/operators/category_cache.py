@@ -46,7 +46,8 @@ def look_up(domains: DataFrame, folder: str, ask: Callable[[DataFrame], DataFram
     ``ask`` sees each domain once, over all runs. Answers are stored before they are used.
     """
     spark = domains.sparkSession
-    wanted = storage.written(domains.select("domain").where("domain is not null").distinct(), "wanted")
+    # Stored before the null test, which would be pushed below the grouping the domains come from.
+    wanted = storage.written(domains.select("domain").distinct(), "wanted").where("domain is not null")
     asked = storage.written(unknown_domains(wanted, cached_categories(spark, folder)), "asked")
     if asked.limit(1).count():
         store_answers(asked, ask(asked), folder)
