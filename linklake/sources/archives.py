@@ -27,6 +27,9 @@ ARCHIVE_GLOB = "*.warc.gz"
 HAS_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/"
 BATCH_BYTES = 16 << 20
 STRETCH_BYTES = 256 << 20
+# Small stretches share tasks once there are many: a task has at least so many bytes then.
+TASK_BYTES = 4 << 20
+LEAST_TASKS = 32
 BATCH_ROWS = 2000
 
 _HEADER_MAP = pa.map_(pa.string(), pa.string())
@@ -82,16 +85,23 @@ def stretches_of(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES) -> DataFr
     return cut.select("warc_file", "stretch", (number * stretch_bytes).alias("start"), end.alias("end"))
 
 
+def task_count(stretches: int, stretch_bytes: int, unsized: int = 0) -> int:
+    """Tasks for a number of stretches and of archives of unknown size, which may be long."""
+    shared = -(-stretches * min(stretch_bytes, TASK_BYTES) // TASK_BYTES)
+    return max(1, min(stretches + unsized, max(LEAST_TASKS, shared + unsized)))
+
+
 def cut_archives(paths: DataFrame, stretch_bytes: int = STRETCH_BYTES, tasks: int | None = None) -> DataFrame:
     """Archives of known size cut into byte stretches and spread over tasks.
 
     However much of the data one file holds, a task reads stretches of about
-    ``stretch_bytes``. The task count follows from the sizes: one
-    number, summed from metadata alone.
+    ``stretch_bytes``, one after the other where stretches are small and many. The task
+    count follows from the sizes: two numbers, summed from metadata alone.
     """
     if tasks is None:
-        stretches = F.sum(F.coalesce(F.ceil(F.col("file_bytes") / stretch_bytes), F.lit(1)))
-        tasks = max(paths.agg(stretches).first()[0] or 1, 1)
+        stretches = F.sum(F.ceil(F.col("file_bytes") / stretch_bytes))
+        sized, unsized = paths.agg(stretches, F.count_if(F.col("file_bytes").isNull())).first()
+        tasks = task_count(int(sized or 0), stretch_bytes, unsized)
     return stretches_of(paths, stretch_bytes).repartition(tasks, "warc_file", "stretch")
 
 

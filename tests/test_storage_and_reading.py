@@ -1,5 +1,6 @@
 """Cut and limited reading, merged ranges, versions, streams over archives, look-ups."""
 
+import gzip
 import io
 import shutil
 import threading
@@ -202,6 +203,43 @@ def test_arriving_archive_is_cut_and_survives_a_break(spark, tmp_path, monkeypat
     assert spark.read.parquet(out).count() == sum(want.values())
 
 
+def test_tasks_follow_bytes_where_stretches_are_small(spark):
+    paths = spark.createDataFrame([("a", 30 << 20), ("b", None)], "warc_file string, file_bytes bigint")
+    cut = archives.cut_archives(paths, stretch_bytes=30_000)
+    assert cut.count() == -(-(30 << 20) // 30_000) + 1 and 8 <= cut.rdd.getNumPartitions() <= 40
+
+
+def test_small_members_are_not_copied_along(tmp_path):
+    """What is left of a block is not copied at each member's end."""
+    import zlib as real
+
+    data = b"".join(gzip.compress(record("request", f"http://a.com/{i}", b"GET / HTTP/1.1")) for i in range(3_000))
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    handed = []
+
+    class Counting:
+        def __init__(self, bits):
+            self.inner = real.decompressobj(bits)
+
+        def decompress(self, content, *most):
+            handed.append(len(content))
+            return self.inner.decompress(content, *most)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    class Zlib:
+        error, decompressobj = real.error, Counting
+
+    before = archive_bytes.zlib
+    archive_bytes.zlib = Zlib
+    try:
+        records = list(archive_bytes.split_stretch(str(tmp_path / "a.warc.gz"), 0, 0, len(data)))
+    finally:
+        archive_bytes.zlib = before
+    assert len(records) == 3_000 and sum(handed) < 20_000 * len(handed)
+
+
 def test_compaction_bounds_what_is_read(spark, tmp_path):
     (tmp_path / "in").mkdir()
     everything, flush = [], streams.Flush(max_files=1)
