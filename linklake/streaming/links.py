@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linklake import schemas, storage
 from linklake.operators.anchors import page_anchors, page_links
 from linklake.operators.sites import site_counts
-from linklake.sources.archives import ARCHIVE_GLOB, STRETCH_BYTES, cut_archives, read_records, stretches_of
+from linklake.sources.archives import ARCHIVE_GLOB, STRETCH_BYTES, cut_archives, read_records, stretches_of, task_count
 
 # Fixed value: how often collected links are written out.
 FLUSH_INTERVAL = "10 seconds"
 UNIT_BYTES = 64 << 30  # archive bytes that are committed together
+JOB_BYTES = 64 << 30  # archive bytes of the units that one job writes, unless a single unit has more
 COMPACT_EVERY = 20  # batches of changes between two compactions
 SITE_COUNT = "primary_link string, frequency bigint"
 
@@ -62,30 +63,63 @@ def write_new_links(
     tasks. The stretches are dealt over units of about ``unit_bytes``, and the plan is
     stored with the checkpoint. A unit is written as a whole to a folder of its own,
     ``batch_id=N/unit=K``. A batch that runs again keeps to the stored plan, passes over units
-    that are whole and writes the one that was broken off anew.
+    that are whole and writes those that were broken off anew.
+
+    One job writes several small units: as many as this run has written before it, so a break
+    loses no more than is kept, and no more than ``JOB_BYTES``.
     """
+    done = 0
 
     def store(batch: DataFrame, number: int) -> None:
+        nonlocal done
         spark, plan = batch.sparkSession, f"{checkpoint}/stretches/batch_id={number}"
         if not storage.is_whole(spark, plan):
             cut = stretches_of(batch, stretch_bytes)
             units = max(1, -(-cut.count() * stretch_bytes // unit_bytes))
-            dealt = cut.withColumn("unit", F.pmod(F.xxhash64("warc_file", "stretch"), F.lit(units)))
+            dealt = cut.withColumn("unit", _unit_of(F.col("stretch"), units)).withColumn("units", F.lit(units))
             dealt.write.mode("overwrite").parquet(plan)
         planned = spark.read.parquet(plan)
         sizes = {r["unit"]: r["count"] for r in planned.groupBy("unit").count().collect()}  # one row a unit
-        for unit, stretches in sorted(sizes.items()):
-            place = f"{output}/batch_id={number}/unit={unit}"
-            if storage.is_whole(spark, place):
-                continue
-            own = planned.where(F.col("unit") == unit).drop("unit").repartition(stretches, "warc_file", "stretch")
-            links = page_links(page_anchors(read_records(own, rec_types=("response",))))
-            links.write.mode("overwrite").parquet(place)
+        # A plan of an earlier version does not say over how many units it is dealt.
+        dealt_over = planned.first()["units"] if sizes and "units" in planned.columns else None
+        place = f"{output}/batch_id={number}"
+        whole = set(storage.numbered(spark, place, "unit"))
+        left = [unit for unit in sorted(sizes) if unit not in whole]
+        while left:
+            most = min(max(1, done), max(1, JOB_BYTES // unit_bytes)) if dealt_over else 1
+            units, left = left[:most], left[most:]
+            own = planned.where(F.col("unit").isin(units)).select("warc_file", "stretch", "start", "end")
+            stretches = sum(sizes[unit] for unit in units)
+            tasks = stretches if len(units) == 1 else task_count(stretches, stretch_bytes)
+            spread = own.repartition(tasks, "warc_file", "stretch")
+            links = page_links(page_anchors(read_records(spread, rec_types=("response",))))
+            if len(units) == 1:
+                links.write.mode("overwrite").parquet(f"{place}/unit={units[0]}")
+            else:
+                _write_units(links, place, units, dealt_over)
+            done += len(units)
 
     writer = paths.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     return flush.triggered(writer, available_now).start()
 
 
+def _unit_of(stretch: Column, units: int) -> Column:
+    """Which unit a stretch of ``warc_file`` belongs to."""
+    return F.pmod(F.xxhash64("warc_file", stretch), F.lit(units))
+
+
+def _write_units(links: DataFrame, place: str, units: list[int], dealt_over: int) -> None:
+    """Links of several units, by one job, each in a folder of its own, which is marked as whole
+    once its files are in it."""
+    stretch = F.shiftright("record_pos", 32).cast("int")  # a record's position begins with it
+    writer = links.withColumn("unit", _unit_of(stretch, dealt_over)).write.partitionBy("unit").mode("overwrite")
+    # Only folders of units that are written are replaced, and the batch's folder gets no mark.
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(place)
+    for unit in units:
+        storage.claim(links.sparkSession, f"{place}/unit={unit}/_SUCCESS")
+
+
 def running_site_counts(links: DataFrame) -> DataFrame:
     """Links per site over a stream of links.
 

@@ -203,6 +203,42 @@ def test_arriving_archive_is_cut_and_survives_a_break(spark, tmp_path, monkeypat
     assert spark.read.parquet(out).count() == sum(want.values())
 
 
+def test_small_units_share_jobs(spark, tmp_path, monkeypatch):
+    """Jobs grow far less than units; each unit keeps a whole folder of its own, and a break costs one job."""
+    (tmp_path / "in").mkdir()
+    big_archive(tmp_path / "in/x.warc.gz", 400)
+    want = Counter([f"http://p.com/{i}" for i in range(400)] + [f"http://t{k}.com/{i}" for i in range(400) for k in range(2)])
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run():
+        arriving = streams.new_archives(spark, str(tmp_path / "in"))
+        streams.write_new_links(arriving, out, check, available_now=True, stretch_bytes=10_000, unit_bytes=30_000).awaitTermination()
+
+    def whole():
+        return sorted(p.parent.name for p in (tmp_path / "out/batch_id=0").glob("unit=*/_SUCCESS"))
+
+    real, calls = streams.page_links, []
+
+    def counted(pages):
+        calls.append(1)
+        if len(calls) == 5:
+            raise RuntimeError("lost")
+        return real(pages)
+
+    monkeypatch.setattr(streams, "page_links", counted)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert len(whole()) == 8 and not (tmp_path / "out/batch_id=0/_SUCCESS").exists()
+    run()
+    plan = spark.read.parquet(f"{check}/stretches/batch_id=0")
+    units = plan.select("unit").distinct().count()
+    assert units > 30 and len(calls) < 15 and len(whole()) == units
+    found = spark.read.parquet(out)
+    assert Counter(r["link"] for r in found.select("link").collect()) == want
+    dealt = found.select("warc_file", F.shiftright("record_pos", 32).cast("int").alias("stretch"), "unit").distinct()
+    assert dealt.join(plan.select("warc_file", "stretch", F.col("unit").cast("int")), ["warc_file", "stretch", "unit"], "left_anti").count() == 0
+
+
 def test_tasks_follow_bytes_where_stretches_are_small(spark):
     paths = spark.createDataFrame([("a", 30 << 20), ("b", None)], "warc_file string, file_bytes bigint")
     cut = archives.cut_archives(paths, stretch_bytes=30_000)
