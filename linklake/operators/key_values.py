@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linklake import schemas
+from linklake.session import bound_batches
 
 Hook = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
 
@@ -18,8 +19,10 @@ def apply_hook(records: DataFrame, hook: Hook, schema: StructType = schemas.KEY_
     """Run a user function over batches of readable records.
 
     The hook sees every column: record fields, offset and length, and the index
-    row's columns when records were fetched by coordinates.
+    row's columns when records were fetched by coordinates. Batches are bounded for the
+    session, as payloads come twice in a worker: as Arrow columns and as objects.
     """
+    bound_batches(records.sparkSession)
     return records.where(F.col("error").isNull()).mapInPandas(hook, schema)
 
 

@@ -37,6 +37,18 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Rows and bytes at most that are handed to Python at a time where rows carry payloads.
+# Workers keep the room that their largest batch took.
+BATCH_ROWS, BATCH_BYTES = 1_000, "8m"
+
+
+def bound_batches(spark: SparkSession, most: int = BATCH_ROWS) -> None:
+    """Lower the session's batches to Python where they are larger."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= most:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 @contextmanager
 def persisted(rows: DataFrame) -> Iterator[DataFrame]:
     """Keep rows that several jobs read, and let go of them after."""

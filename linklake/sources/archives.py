@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from linklake import schemas
+from linklake.session import bound_batches
 from linklake.sources.archive_bytes import failure, joined_ranges, open_at, read_range, size_of, split_records, split_stretch
 from linklake.storage import written
 
@@ -216,6 +217,7 @@ def fetch_records(
         *([charset_column] if has_charset else []),
         resolve_path(F.col("warc_filename"), base_uri, local_base).alias("warc_file"),
     )
+    bound_batches(coordinates.sparkSession)
     tasks = partitions or int(coordinates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretch = F.floor(F.col("warc_record_offset") / STRETCH_BYTES)
     spread = wanted.repartition(tasks, "warc_file", stretch)

@@ -7,13 +7,14 @@ import threading
 import time
 from collections import Counter
 
+import pandas as pd
 import pytest
 from conftest import archive, page, record
 from pyspark.sql import functions as F
 
-from linklake import storage
+from linklake import schemas, storage
 from linklake.functions import text
-from linklake.operators import anchors, category_cache, metrics
+from linklake.operators import anchors, category_cache, key_values, metrics
 from linklake.plans import link_pipeline
 from linklake.sinks import links as link_sink
 from linklake.sources import archive_bytes, archives
@@ -245,6 +246,21 @@ def test_tasks_follow_bytes_where_stretches_are_small(spark):
     assert cut.count() == -(-(30 << 20) // 30_000) + 1 and 8 <= cut.rdd.getNumPartitions() <= 40
 
 
+def test_hooks_get_bounded_batches(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.range(5_000).coalesce(1).select(F.lit(None).cast("string").alias("error"), "id")
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, 10_000)
+        sizes = key_values.apply_hook(rows, lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), schemas.columns("n long")).collect()
+        assert sum(r["n"] for r in sizes) == 5_000 and max(r["n"] for r in sizes) <= 1_000
+        spark.conf.set(key, 100)  # smaller ones are left alone
+        key_values.apply_hook(rows, lambda frames: frames, schemas.columns("error string, id long"))
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_small_members_are_not_copied_along(tmp_path):
     """What is left of a block is not copied at each member's end."""
     import zlib as real

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from linklake.session import bound_batches
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _INDEX = pa.schema(
@@ -85,6 +87,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         else:
             store.delete_file(draft)
 
+    bound_batches(pages.sparkSession)
     spread = pages.select("page_id", "url", "html").repartition("page_id")
     index = spread.sortWithinPartitions("page_id").mapInArrow(write, _INDEX_DDL)
     index.write.parquet(f"{folder}/index")
