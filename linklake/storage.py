@@ -31,6 +31,14 @@ def is_whole(spark: SparkSession, folder: str) -> bool:
     return store.exists(place)
 
 
+def mark_whole(spark: SparkSession, folder: str, parts: list[str]) -> None:
+    """Mark folders under a folder as whole; missing ones are made."""
+    store, _ = _place(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for part in parts:
+        store.create(path(f"{folder}/{part}/_SUCCESS"), True).close()
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     store, place = _place(spark, folder)
     store.delete(place, True)

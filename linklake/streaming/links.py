@@ -116,8 +116,7 @@ def _write_units(links: DataFrame, place: str, units: list[int], dealt_over: int
     # Only folders of units that are written are replaced, and the batch's folder gets no mark.
     writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(place)
-    for unit in units:
-        storage.claim(links.sparkSession, f"{place}/unit={unit}/_SUCCESS")
+    storage.mark_whole(links.sparkSession, place, [f"unit={unit}" for unit in units])
 
 
 def running_site_counts(links: DataFrame) -> DataFrame:
