@@ -5,8 +5,8 @@ turns the highest inner product into the smallest Euclidean distance, which is a
 Rows are dealt into shards of bounded size. A shard's tree is built in one task and kept as
 pages: an inner page holds routing vectors with covering radii and distances to the parent,
 a leaf page holds vectors with distances to the parent. Queries are dealt into blocks, and
-a task searches one tree for one block: pages wait in a queue by the least distance anything
-below can have; the triangle inequality on stored distances rules entries out before any
+a task searches one tree for one block, many queries at a time: pages wait in a queue by the least
+distance anything below can have from any of them; the triangle inequality on stored distances rules entries out before any
 distance is computed. The shards' best are merged per query.
 
 Distances only rule out; scores are exact whole numbers, and ties go to the smaller id, then
@@ -36,6 +36,7 @@ from linklake.llm.tables import stored
 
 SHARD_ROWS = 16_384
 QUERY_ROWS = 4_096
+TOGETHER = 256  # queries of a block that are searched for at once
 LEAF_ROWS = 128
 FAN_OUT = 16
 SCALE = 256
@@ -152,48 +153,51 @@ class Tree:
 
     def best(self, own_row: int, query: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """(score, id, row) of the k best, best first."""
-        point = np.append(query.astype(float), 0.0)
-        base = float((query * query).sum()) + self.longest
+        return self.best_of_each(np.array([own_row]), query[None, :], k)[0]
+
+    def best_of_each(self, own_rows: np.ndarray, queries: np.ndarray, k: int) -> list[list[tuple[int, int, int]]]:
+        """The same for several queries, which wait at the pages together: a page is opened once
+        for all that its bounds do not rule out. Each has limits of its own."""
+        points = np.column_stack([queries.astype(float), np.zeros(len(queries))])
+        base = (points * points).sum(1) + self.longest
         slack = 1e-6 * (1 + np.sqrt(base))
-        found: list[tuple[int, int, int]] = []  # a heap of (score, -id, -row), the worst first
-        limit = np.inf
-        queue = [(0.0, 0, float(np.sqrt(((point - self.first) ** 2).sum())))]
+        # Sums of products stay whole in doubles below 2^53.
+        exact = queries.astype(float) if base.max(initial=0) < 1 << 53 else queries
+        found: list[np.ndarray] = [np.empty((0, 3), np.int64) for _ in queries]  # (score, id, row), best first
+        worst = np.full(len(queries), np.iinfo(np.int64).min)
+        limit = np.full(len(queries), np.inf)
+        queue = [(0.0, 0, np.zeros(len(queries)), _away(points, self.first))]
         while queue:
-            least, number, parent = heapq.heappop(queue)
-            if least > limit:
+            first, number, least, parent = heapq.heappop(queue)
+            if first > limit.max():
                 break
+            asks = np.flatnonzero(least <= limit)
+            if not len(asks):
+                continue
             leaf, ids, vectors, radii, to_parent = self.pages[number]
-            apart = np.abs(parent - to_parent)
+            apart = np.abs(parent[asks, None] - to_parent)
             if not leaf:
-                near = np.flatnonzero(apart - radii <= limit)
-                if not len(near):
-                    continue
-                distance = _away(vectors[near], point)
-                self.computed += len(near)
-                for least, i, d in zip(np.maximum(distance - radii[near] - slack, 0), near, distance, strict=True):
-                    if least <= limit:
-                        heapq.heappush(queue, (float(least), int(ids[i]), float(d)))
-                continue
-            near = np.flatnonzero(apart - slack <= limit) if limit < np.inf else np.arange(len(ids))
-            if not len(near):
+                near = apart - radii <= limit[asks, None]
+                for i in np.flatnonzero(near.any(0)):
+                    own = asks[near[:, i]]
+                    self.computed += len(own)
+                    distance, bound = np.zeros(len(queries)), np.full(len(queries), np.inf)
+                    distance[own] = _away(points[own], vectors[i])
+                    bound[own] = np.maximum(distance[own] - radii[i] - slack[own], 0)
+                    heapq.heappush(queue, (float(bound.min()), int(ids[i]), bound, distance))
                 continue
-            scores = vectors[near] @ query
-            self.computed += len(near)
-            if len(found) == k:
-                keep = scores >= found[0][0]
-                near, scores = near[keep], scores[keep]
-            order = np.lexsort((ids[near, 1], ids[near, 0], -scores))[: k + 1]
-            for i in order:
-                entry = (int(scores[i]), *(-ids[near[i]]).tolist())
-                if -entry[2] == own_row:
-                    continue
-                if len(found) < k:
-                    heapq.heappush(found, entry)
-                elif entry > found[0]:
-                    heapq.heapreplace(found, entry)
-            if len(found) == k:
-                limit = float(np.sqrt(max(base - 2.0 * found[0][0], 0.0))) + slack
-        return [(score, -other, -row) for score, other, row in sorted(found, reverse=True)]
+            near = apart - slack[asks, None] <= limit[asks, None]
+            self.computed += int(near.sum())
+            scores = exact[asks] @ vectors.astype(exact.dtype).T
+            near &= (scores >= worst[asks, None]) & (ids[:, 1] != own_rows[asks, None])
+            for j in np.flatnonzero(near.any(1)):
+                q, new = asks[j], near[j]
+                entries = np.concatenate([found[q], np.column_stack([scores[j, new].astype(np.int64), ids[new]])])
+                found[q] = entries[np.lexsort((entries[:, 2], entries[:, 1], -entries[:, 0]))[:k]]
+                if len(found[q]) == k:
+                    worst[q] = found[q][-1, 0]
+                    limit[q] = np.sqrt(max(base[q] - 2.0 * float(worst[q]), 0.0)) + slack[q]
+        return [list(map(tuple, entries.tolist())) for entries in found]
 
 
 def _searched(width: int, longest: int, k: int):
@@ -201,9 +205,11 @@ def _searched(width: int, longest: int, k: int):
         rows = []
         if len(pages) and len(queries):
             tree = Tree(pages, width, longest)
-            asking = zip(queries["vec_id"], queries["row"], _matrix(list(queries["vector"]), width), strict=True)
-            for own, own_row, query in asking:
-                rows.extend((own, own_row, other, row, score) for score, other, row in tree.best(own_row, query, k))
+            for at in range(0, len(queries), TOGETHER):
+                asking = queries.iloc[at : at + TOGETHER]
+                best = tree.best_of_each(asking["row"].to_numpy(np.int64), _matrix(list(asking["vector"]), width), k)
+                for own, own_row, entries in zip(asking["vec_id"], asking["row"], best, strict=True):
+                    rows.extend((own, own_row, other, row, score) for score, other, row in entries)
         return pd.DataFrame(rows, columns=[p.split()[0] for p in FOUND.split(", ")]).astype("int64")
 
     return run

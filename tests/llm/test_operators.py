@@ -401,6 +401,30 @@ def test_top_k_keeps_every_row(spark, monkeypatch, shard):
     same(mtree.top_k(frame, F.col("vec_id") % 50 == 0).collect(), want)
 
 
+def test_queries_share_the_pages_they_open():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-200, 200, (3000, 16))
+    longest = int((vectors * vectors).sum(1).max())
+    pages = mtree._built(longest, 16)((0,), pd.DataFrame({"vec_id": np.arange(3000) // 2, "row": np.arange(3000), "vector": list(vectors)}))
+    tree, opened = mtree.Tree(pages, 16, longest), []
+
+    class Counting(dict):
+        def __getitem__(self, number):
+            opened.append(number)
+            return super().__getitem__(number)
+
+    tree.pages = Counting(tree.pages)
+    asking = np.arange(0, 3000, 15)
+    got = tree.best_of_each(asking, vectors[asking], 5)
+    assert len(opened) <= len(pages)
+    for own, best in zip(asking, got, strict=True):
+        scores = vectors @ vectors[own]
+        order = [int(i) for i in np.lexsort((np.arange(3000), np.arange(3000) // 2, -scores)) if i != own][:5]
+        assert best == [(int(scores[i]), i // 2, i) for i in order]
+
+
 def test_tree_passes_over_most_rows():
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 400, (40, 16))
