@@ -51,6 +51,7 @@ PERCENT = 75
 CELL_BITS = 21
 CELLS = 1 << CELL_BITS  # of the frequency sketch; its size never changes
 SLICE = 1 << 12
+SLICES = 64  # that leave a task at a time
 ORDERS = ((0x51ED2701, 0), (0x2545F491, 4), (0x9E3779B1, 6))  # seed, and bits of a count left out
 BUCKETS = 128  # of the overlap bound
 BLOCK = 512  # documents of one token that meet in one task at a time
@@ -131,16 +132,16 @@ def _members(size: int):
         names = ["doc", "n", "k1", "k2", "data", "part"]
         counts = np.zeros(CELLS, np.int32)
         for batch in batches:
-            rows, found = [], []
+            rows = []
             for doc, text in zip(batch["doc"], batch["text"], strict=True):
                 tokens = shingle_set(text, size)
                 rows.append((doc, len(tokens), *(_digest(tokens) if len(tokens) else (0, 0)), spread(tokens).tobytes(), -1))
-                found.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int32))
-            if found:
-                np.add(counts, np.bincount(np.concatenate(found), minlength=CELLS), out=counts, casting="unsafe")
+                np.add.at(counts, (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.int32(1))
             yield pd.DataFrame(rows, columns=names)
         parts = counts.reshape(-1, SLICE)
-        yield pd.DataFrame([(0, 0, 0, 0, p.tobytes(), i) for i, p in enumerate(parts) if p.any()], columns=names)
+        for low in range(0, len(parts), SLICES):
+            found = [(0, 0, 0, 0, p.tobytes(), i) for i, p in enumerate(parts[low : low + SLICES], low) if p.any()]
+            yield pd.DataFrame(found, columns=names)
 
     return run
 

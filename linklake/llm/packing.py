@@ -36,7 +36,7 @@ END_ID = 0
 BLOCK = 200_000
 SLACK = 8  # a bin with no more room than this counts as full
 FAN_IN = 8
-KEPT_WORDS = 200_000  # some 45 MB; twice as many at most, with those of the time before
+KEPT_WORDS = 100_000  # some 22 MB; twice as many at most, with those of the time before
 KEPT_LENGTH = 48
 FIELDS = ("doc", "piece", "start", "length", "ids_crc32")
 PIECE = "doc long, piece int, start long, length int, ids_crc32 long"
@@ -133,11 +133,6 @@ def _pieces(path: str, budget: int):
     return run
 
 
-def pieces(docs: DataFrame, path: str, ident: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
-    rows = docs.select(ids(ident).alias("doc"), F.col(text).alias("text"))
-    return rows.mapInPandas(_pieces(path, budget), PIECE)
-
-
 def best_fit(sizes: list[int], budget: int) -> list[list[int]]:
     """Bins as lists of places in ``sizes``: longest first, each into the fullest bin it fits.
 
@@ -217,14 +212,18 @@ def _placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows
 
 
-def packed(rows: DataFrame, budget: int = BUDGET, fan_in: int = FAN_IN, slack: int = SLACK) -> DataFrame:
-    """Pieces (columns of ``PIECE``) with ``sequence_id`` and ``offset``."""
+def packed(rows: DataFrame, budget: int = BUDGET, fan_in: int = FAN_IN, slack: int = SLACK, cut=None) -> DataFrame:
+    """Pieces (columns of ``PIECE``) with ``sequence_id`` and ``offset``. ``cut`` makes the pieces
+    of batches of ``rows``, in the worker that packs them: a second one would stay with the executor."""
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _level(budget, slack, 0, False)(cut(batches) if cut else batches)
 
     def fewer(groups: int, waiting: int) -> int:
         return max(-(-groups // fan_in), -(-waiting // BLOCK))
 
     level = 0
-    bins = stored(rows.mapInPandas(_level(budget, slack, 0, False), BIN), "bins")
+    bins = stored(rows.mapInPandas(first, BIN), "bins")
     done = [bins.where("final")]
     groups = bins.rdd.getNumPartitions()
     waiting = bins.where("not final").count()
@@ -247,7 +246,8 @@ def packed(rows: DataFrame, budget: int = BUDGET, fan_in: int = FAN_IN, slack: i
 
 def sequences(docs: DataFrame, path: str, ident: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """One row a piece: where it comes from and where it is placed."""
-    found = packed(pieces(docs, path, ident, text, budget), budget)
+    rows = docs.select(ids(ident).alias("doc"), F.col(text).alias("text"))
+    found = packed(rows, budget, cut=_pieces(path, budget))
     return found.select(
         ids_back(F.col("doc")).alias(ident), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )
